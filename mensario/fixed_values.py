@@ -11,7 +11,7 @@ SUBJECT_PAGAMENTOS = "tb_pagamentos"
 TRUSTED_FATURAS = "tb_0001_fatura"
 TRUSTED_PAGAMENTOS = "tb_0002_pagamentos"
 
-# Identifier prefixes to strip.
+# Identifier prefixes to strip, as patterns.
 PREFIX_TO_LAST_HYPHEN = ".*-"
 PREFIX_OF_TWO_HYPHENS = ".*-.*-"
 

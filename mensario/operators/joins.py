@@ -39,6 +39,8 @@ def heaviest_key_rows(df: DataFrame, keys: Sequence[str] = KEYS) -> int:
     top = (
         hashed.groupBy("grp")
         .agg(F.expr(f"approx_top_k_accumulate(key, {_TRACKED_KEYS})").alias("sketch"))
+        # Combining no sketches at all is an error; no group, no row.
+        .groupBy(F.lit(0).alias("all"))
         .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED_KEYS}), 1)").alias("top"))
         .select(F.try_element_at("top", F.lit(1))["count"].alias("rows"))
         .first()
@@ -47,7 +49,10 @@ def heaviest_key_rows(df: DataFrame, keys: Sequence[str] = KEYS) -> int:
 
 
 def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Left outer join as inner join plus anti join; ``keys`` never match on NULL in either."""
+    """Left outer join as inner join plus anti join. A NULL key matches nothing, as in any join.
+
+    The sides may share no column names but ``keys``.
+    """
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
     matched = left.join(right, keys, "inner").select(*left.columns, *extra)
