@@ -55,9 +55,14 @@ def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEY
     """
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
-    matched = left.join(right, keys, "inner").select(*left.columns, *extra)
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
     empty = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
+    complete = F.expr(" and ".join(f"{k} is not null" for k in keys))
+
+    # Both joins read the same rows in the same order of columns, so they share one shuffle.
+    keyed = left.where(complete)
+    matched = keyed.join(right, keys, "inner").select(*left.columns, *extra)
+    paid = right.select(*keys).distinct()
+    unmatched = keyed.join(paid, keys, "left_anti").unionByName(left.where(~complete))
     return matched.unionByName(unmatched.select(*left.columns, *empty))
 
 
@@ -77,8 +82,19 @@ def join_faturas_pagamentos(
 
     An invoice with several payments repeats, amount included.
     """
+    # Columns in the order they are stored, see left_join_split.
     invoice = faturas.select(
-        "id_cliente", "id_fatura", "dt_emissao", "dt_vencimento", "vlr_fatura", "vlr_pagto_min"
+        "id_fatura", "id_cliente", "dt_emissao", "dt_vencimento", "vlr_fatura", "vlr_pagto_min"
+    )
+    payment = pagamentos.select("id_pagamento", "id_fatura", "id_cliente", "dt_pagamento", "vlr_pagamento")
+    return left_join(invoice, payment, KEYS, hot_rows).select(
+        "id_cliente",
+        "id_fatura",
+        "dt_emissao",
+        "dt_vencimento",
+        "vlr_fatura",
+        "vlr_pagto_min",
+        "id_pagamento",
+        "dt_pagamento",
+        "vlr_pagamento",
     )
-    payment = pagamentos.select("id_cliente", "id_fatura", "id_pagamento", "dt_pagamento", "vlr_pagamento")
-    return left_join(invoice, payment, KEYS, hot_rows)

@@ -56,3 +56,41 @@ def test_split_form_joins_inner_where_adaptive_execution_can_split_payments(fatu
     joins.join_faturas_pagamentos(faturas, pagamentos, hot_rows=1).explain()
     plan = capsys.readouterr().out
     assert "LeftOuter" not in plan and "Inner" in plan and "LeftAnti" in plan
+
+
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def test_a_hot_payment_key_is_split_at_run_time_and_invoices_shuffle_once(spark, faturas, tmp_path):
+    hot = spark.range(0, 60_000, 1, 6).selectExpr(
+        "id as id_pagamento",
+        "if(id % 3 = 0, 8, id % 10) as id_cliente",
+        "if(id % 3 = 0, 8, id % 300) as id_fatura",
+        "date'2024-01-01' as dt_pagamento",
+        "cast(id as int) as vlr_pagamento",
+    )
+    faturas.write.parquet(str(tmp_path / "f"))
+    hot.write.parquet(str(tmp_path / "p"))
+    invoices, payments = spark.read.parquet(str(tmp_path / "f")), spark.read.parquet(str(tmp_path / "p"))
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    try:
+        for key, value in SKEW_SETTINGS.items():
+            spark.conf.set(key, value)
+        plans, counts = {}, {}
+        for hot_rows in (1, 10**9):
+            df = joins.join_faturas_pagamentos(invoices, payments, hot_rows)
+            counts[hot_rows] = len(df.collect())
+            plans[hot_rows] = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert counts[1] == counts[10**9]
+    assert "skew=true" in plans[1] and "ReusedExchange" in plans[1]
+    assert "skew=true" not in plans[10**9]
