@@ -1,4 +1,4 @@
-"""Command line for spark-submit: ``ingest``, ``process``, ``book`` and ``run``."""
+"""Command line for spark-submit: ``ingest``, ``process``, ``check``, ``book`` and ``run``."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from mensario.sources.tables import APPEND, REPLACE_MONTHS
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="mensario")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("ingest", "process", "book", "run"):
+    for name in ("ingest", "process", "check", "book", "run"):
         command = commands.add_parser(name)
         command.add_argument("--lake", required=True, help="root folder of the lake")
         if name in ("ingest", "run"):
@@ -25,10 +25,10 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument("--pagamentos", required=True, help="folder with the payment files")
         if name == "process":
             command.add_argument("subject", choices=monthly.SUBJECTS)
-        if name in ("book", "run"):
+        if name in ("check", "book", "run"):
             command.add_argument("--ref-date", required=True, type=date.fromisoformat)
             command.add_argument("--months", type=int, default=fv.MESES_BOOK)
-        if name != "ingest":
+        if name in ("process", "book", "run"):
             command.add_argument("--dt-proc", default=None)
             command.add_argument("--mode", choices=(APPEND, REPLACE_MONTHS), default=APPEND)
         if name in ("process", "book"):
@@ -50,6 +50,10 @@ def main(argv: list[str] | None = None) -> None:
         monthly.process(
             spark, lake, args.subject, args.dt_proc, args.mode, args.only_pending, gate=not args.force
         )
+    elif args.command == "check":
+        for title, rows in monthly.book_checks(spark, lake, Period(args.ref_date, args.months)).items():
+            print(title)
+            rows.show()
     elif args.command == "book":
         period = Period(args.ref_date, args.months)
         monthly.build_book(spark, lake, period, args.dt_proc, args.mode, gate=not args.force)

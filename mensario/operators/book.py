@@ -93,15 +93,14 @@ def merge_cells(states: DataFrame, types: dict[str, T.DataType], grid: FeatureGr
     """Step 2: the finished features of every cell a customer has rows in.
 
     A row whose labels are all unknown to the grid keeps its customer through a NULL cell.
-    The number of partitions is set outright: merging them by shuffled bytes would leave
-    too few, because the rows grow to full width only after the shuffle.
+    No customer brings more rows than there are class and window combinations, so the
+    partitions are even, and adaptive execution sizes them.
     """
-    partitions = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [f"{state}_{value}" for value, state in _states(grid)]
     labels = F.array(*[f"code_{c}" for c in grid.label_columns])
     windows = F.expr(f"array({', '.join(map(str, range(len(grid.windows))))})")
     merged = (
-        states.repartition(partitions, "id_cliente")
+        states.repartition("id_cliente")
         .select(*KEYS, "mask", F.explode(labels).alias("label"), *columns)
         .select(*KEYS, "mask", "label", F.explode(windows).alias("window"), *columns)
         .where("mask & shiftleft(1, window) != 0")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from mensario import fixed_values as fv
 from mensario.functions.period import Period, processing_stamp
 from mensario.operators.book import build_features
-from mensario.operators.inspection import in_period
+from mensario.operators.inspection import bounds, in_period, repeated_keys
 from mensario.operators.joins import HOT_ROWS, join_faturas_pagamentos
 from mensario.operators.stage import build_stage, with_window_flags
 from mensario.operators.trusted import TO_TRUSTED
@@ -29,6 +29,7 @@ from mensario.sources.tables import (
     scan_faturas,
     scan_pagamentos,
     scan_stage,
+    scan_trusted,
     write_book,
     write_stage,
     write_trusted,
@@ -95,6 +96,19 @@ def process(
     return TrustedRun(subject, dt_proc, count)
 
 
+def book_checks(spark: SparkSession, lake: Lake, period: Period) -> dict[str, DataFrame]:
+    """What to look at before a book: months covered and repeated keys, per subject.
+
+    Payments are checked on the same keys as invoices, so part-payments are listed as well.
+    """
+    checks = {}
+    for subject in SUBJECTS:
+        rows = in_period(scan_trusted(spark, subject, lake.trusted(subject)), period)
+        checks[f"{subject}: months in the period"] = bounds(rows, "ref")
+        checks[f"{subject}: keys that occur more than once"] = repeated_keys(rows)
+    return checks
+
+
 def build_book(
     spark: SparkSession,
     lake: Lake,

@@ -129,10 +129,22 @@ def test_whole_run_and_rebuild(spark, lake, sources, period):
     assert tables.scan_book(spark, lake.book).count() == 8
 
 
-def test_command_line_runs_the_same_steps(spark, lake, sources, monkeypatch):
+def test_checks_show_months_and_repeated_keys(spark, lake, sources, period):
+    monthly.ingest(spark, lake, sources)
+    for dt_proc in ("first", "second"):
+        for subject in monthly.SUBJECTS:
+            monthly.process(spark, lake, subject, dt_proc, gate=False)
+    checks = list(monthly.book_checks(spark, lake, period).values())
+    assert [c.first() for c in checks[::2]] == [("202401", "202401")] * 2
+    assert [(c.count(), c.first().qtd) for c in checks[1::2]] == [(30, 2), (20, 2)]
+
+
+def test_command_line_runs_the_same_steps(spark, lake, sources, capsys):
     cli.main(["ingest", "--lake", lake.root, "--faturas", sources[FATURAS], "--pagamentos", sources[PAGAMENTOS]])
     cli.main(["process", FATURAS, "--lake", lake.root, "--dt-proc", "x"])
     cli.main(["process", PAGAMENTOS, "--lake", lake.root, "--dt-proc", "x"])
+    cli.main(["check", "--lake", lake.root, "--ref-date", "2024-02-01"])
+    assert "202401" in capsys.readouterr().out
     cli.main(["book", "--lake", lake.root, "--ref-date", "2024-02-01", "--dt-proc", "x"])
     assert tables.scan_book(spark, lake.book).count() == 4
     cli.main(["book", "--lake", lake.root, "--ref-date", date(2024, 1, 1).isoformat(), "--force", "--dt-proc", "y"])
