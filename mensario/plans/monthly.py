@@ -38,8 +38,8 @@ from mensario.streaming.landing import (
     land_files,
     mark_processed,
     pending_batches,
-    pending_files,
     require_pending,
+    waiting_files,
 )
 
 SUBJECTS = (fv.SUBJECT_FATURAS, fv.SUBJECT_PAGAMENTOS)
@@ -72,13 +72,14 @@ def process(
 
     By default all raw files are read and appended, so a month already in the trusted
     table is there twice afterwards. ``only_pending`` reads the batches not used before;
-    ``replace_months`` swaps whole months and needs all raw files. Without ``gate`` the
-    run starts even if no file is waiting.
+    ``replace_months`` swaps whole months and needs all raw files. Without ``gate`` a
+    run over all files starts even if none is waiting.
     """
     if only_pending and mode == REPLACE_MONTHS:
         raise ValueError("replacing whole months needs all raw files, not only the pending ones")
     dt_proc = dt_proc or processing_stamp()
-    pending = (require_pending if gate else pending_files)(spark, lake, subject)
+    open_gate = require_pending if gate or only_pending else waiting_files
+    pending = open_gate(spark, lake, subject)
 
     folder = lake.raw_data(subject)
     paths = [f"{folder}/lote={lote}" for lote in pending_batches(pending)] if only_pending else [folder]
@@ -124,7 +125,7 @@ def build_book(
     ``gate`` it is built even if no file is waiting, such as for an earlier month.
     """
     dt_proc = dt_proc or processing_stamp()
-    open_gate = require_pending if gate else pending_files
+    open_gate = require_pending if gate else waiting_files
     waiting = [open_gate(spark, lake, subject, BOOK_CONSUMER) for subject in SUBJECTS]
 
     faturas = in_period(scan_faturas(spark, lake.trusted(fv.SUBJECT_FATURAS)), period)

@@ -100,16 +100,18 @@ def pending_batches(pending: DataFrame) -> list[str]:
     return [row["lote"] for row in pending.select("lote").distinct().orderBy("lote").collect()]
 
 
-def require_pending(spark: SparkSession, lake: Lake, subject: str, consumer: str | None = None) -> DataFrame:
-    """The gate of a run: its pending files, or ``NothingToProcess``. Runs one job.
-
-    The files are those of the batches there now; a batch landed later stays pending.
-    """
+def waiting_files(spark: SparkSession, lake: Lake, subject: str, consumer: str | None = None) -> DataFrame:
+    """The pending files of the batches there now; a batch landed later is not among them. Runs one job."""
     pending = pending_files(spark, lake, subject, consumer)
-    batches = pending_batches(pending)
-    if not batches:
+    return pending.where(F.col("lote").isin(pending_batches(pending)))
+
+
+def require_pending(spark: SparkSession, lake: Lake, subject: str, consumer: str | None = None) -> DataFrame:
+    """The gate of a run: its waiting files, or ``NothingToProcess``."""
+    waiting = waiting_files(spark, lake, subject, consumer)
+    if waiting.isEmpty():
         raise NothingToProcess(f"no landed file of {subject} is waiting for {consumer or subject}")
-    return pending.where(F.col("lote").isin(batches))
+    return waiting
 
 
 def mark_processed(pending: DataFrame, lake: Lake, consumer: str, dt_proc: str) -> None:

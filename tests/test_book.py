@@ -142,3 +142,13 @@ def test_a_hot_customer_shrinks_before_the_shuffle_by_customer(flagged):
 def test_one_customer(book):
     assert [r.id_cliente for r in book_of(book, 1).collect()] == [1]
     assert book_of(book, 10**9).isEmpty()
+
+
+def test_plan_has_two_shuffles_and_no_python(spark, period, tmp_path, capsys):
+    spark.createDataFrame(stage_rows(50, 5, seed=1), STAGE).write.parquet(str(tmp_path / "s"))
+    build_features(with_window_flags(spark.read.parquet(str(tmp_path / "s")), period)).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange ") == 2
+    assert "Python" not in plan and "SortAggregate" not in plan
+    # Columns no feature uses are not read.
+    assert "fvl_vlr_pagto_min" not in plan

@@ -92,6 +92,8 @@ def test_process_counts_what_it_wrote(spark, lake, sources):
     with pytest.raises(landing.NothingToProcess):
         monthly.process(spark, lake, PAGAMENTOS)
     assert monthly.process(spark, lake, PAGAMENTOS, "later", gate=False).rows == 20
+    with pytest.raises(landing.NothingToProcess):
+        monthly.process(spark, lake, PAGAMENTOS, gate=False, only_pending=True)
 
 
 def test_second_month_by_each_way_of_writing(spark, lake, sources):
