@@ -1,5 +1,4 @@
 from datetime import date
-from decimal import Decimal
 
 import pytest
 
@@ -25,7 +24,3 @@ def period():
 @pytest.fixture
 def lake(tmp_path):
     return Lake(str(tmp_path / "lake"))
-
-
-def money(text):
-    return None if text is None else Decimal(text)

@@ -3,6 +3,8 @@
 Money is kept in whole cents, because DuckDB divides decimals as doubles: percentages
 and averages are then exact integer divisions, rounded half up. The reference date is
 the first of a month, so "at most k months back" is "not before the date k months back".
+Classes come from the sign of a difference, which holds because no invoice of the tables
+lacks a due date or an amount.
 """
 
 from __future__ import annotations
@@ -38,29 +40,23 @@ f0 AS (SELECT * FROM f WHERE ref BETWEEN {_FIRST} AND {_LAST}),
 p0 AS (SELECT * FROM p WHERE ref BETWEEN {_FIRST} AND {_LAST}),
 j AS (
   SELECT f0.id_cliente, f0.id_fatura, dt_emissao, dt_vencimento, fat_cents,
-         id_pagamento, dt_pagamento, pag_cents
+         id_pagamento, dt_pagamento, pag_cents,
+         sign(dt_pagamento - dt_vencimento) AS timing, sign(pag_cents - fat_cents) AS amount
   FROM f0 LEFT JOIN p0 ON f0.id_cliente = p0.id_cliente AND f0.id_fatura = p0.id_fatura),
 c AS (
   SELECT *,
-    CASE WHEN dt_pagamento IS NULL THEN 'SEM_PAGAMENTO'
-         WHEN dt_pagamento = dt_vencimento THEN 'PAGAMENTO_NO_PRAZO'
-         WHEN dt_pagamento < dt_vencimento THEN 'PAGAMENTO_ANTECIPADO'
-         ELSE 'PAGAMENTO_EM_ATRASO' END AS fbc_classif_pagto,
-    CASE WHEN pag_cents = fat_cents THEN 'VALOR_TOTAL'
-         WHEN pag_cents < fat_cents THEN 'VALOR_PARCIAL'
-         ELSE 'SEM_VALOR' END AS fbc_classif_vlr_pagto
+    CASE timing WHEN -1 THEN '{fv.ANTECIPADO}' WHEN 0 THEN '{fv.NO_PRAZO}'
+                WHEN 1 THEN '{fv.EM_ATRASO}' ELSE '{fv.SEM_PAGAMENTO}' END AS fbc_classif_pagto,
+    CASE amount WHEN -1 THEN '{fv.VALOR_PARCIAL}' WHEN 0 THEN '{fv.VALOR_TOTAL}'
+                ELSE '{fv.SEM_VALOR}' END AS fbc_classif_vlr_pagto
   FROM j),
 d AS (
   SELECT *,
-    CASE fbc_classif_vlr_pagto
-         WHEN 'VALOR_TOTAL' THEN 100
-         WHEN 'VALOR_PARCIAL' THEN (200 * pag_cents + fat_cents) // (2 * fat_cents)
-         ELSE 0 END AS fvl_perc_vlr_fatura,
-    CAST(CASE fbc_classif_pagto
-         WHEN 'SEM_PAGAMENTO' THEN {_REF_DATE} - dt_vencimento
-         WHEN 'PAGAMENTO_EM_ATRASO' THEN dt_pagamento - dt_vencimento
-         WHEN 'PAGAMENTO_NO_PRAZO' THEN 0
-         ELSE -1 END AS INTEGER) AS fvl_numero_dias_atraso
+    CASE amount WHEN -1 THEN (200 * pag_cents + fat_cents) // (2 * fat_cents)
+                WHEN 0 THEN 100 ELSE 0 END AS fvl_perc_vlr_fatura,
+    CAST(CASE timing WHEN 1 THEN dt_pagamento - dt_vencimento
+                     WHEN 0 THEN 0 WHEN -1 THEN {fv.DIAS_ANTECIPADO}
+                     ELSE {_REF_DATE} - dt_vencimento END AS INTEGER) AS fvl_numero_dias_atraso
   FROM c),
 s AS (
   SELECT id_cliente, {_LAST} AS ref, '{DT_PROC}' AS dt_proc, fbc_classif_pagto,
