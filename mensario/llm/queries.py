@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mensario.llm import decontam, langid, mixing, shards, simhash
+from mensario.llm import cover, decontam, html_main, langid, mixing, secrets, shards, simhash, toxicity
 from mensario.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,23 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.learn(docs))
+    label = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.concat_ws(",", F.transform(F.filter("spans", lambda s: s["kind"] != "grammar"), label))
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"), of("grammar"),
+        F.sha2(base, 256).alias("base_sha256"), F.concat_ws(",", F.transform("spans", label)).alias("spans"),
+    )
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_main.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -31,6 +48,15 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.learn(docs))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover.links(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: rows that are alike in id, source and size are planned as one unit and given out again."""
     unit = mixing.plan(table(spark, sf_dir, "documents"))
@@ -42,6 +68,6 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op5_decontamination, op6_language, op9_mixing, op10_shards)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_html, op5_decontamination, op6_language, op7_toxicity, op8_embeddings, op9_mixing, op10_shards)}
 
 ORACLE_SQL: dict[str, str] = {}
