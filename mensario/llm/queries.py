@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mensario.llm import cover, decontam, html_main, langid, mixing, secrets, shards, simhash, toxicity
+from mensario.llm import cover, decontam, fuzzy_lines, html_main, langid, mixing, secrets, shards, simhash, toxicity
 from mensario.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -68,6 +72,6 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_html, op5_decontamination, op6_language, op7_toxicity, op8_embeddings, op9_mixing, op10_shards)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_html, op4_lines, op5_decontamination, op6_language, op7_toxicity, op8_embeddings, op9_mixing, op10_shards)}
 
 ORACLE_SQL: dict[str, str] = {}
