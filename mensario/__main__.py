@@ -5,11 +5,10 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
-
 from mensario import fixed_values as fv
 from mensario.functions.period import Period
 from mensario.plans import monthly
+from mensario.session import cluster_session
 from mensario.sources.lake import Lake
 from mensario.sources.tables import APPEND, REPLACE_MONTHS
 
@@ -31,7 +30,7 @@ def _parser() -> argparse.ArgumentParser:
         if name in ("process", "book", "run"):
             command.add_argument("--dt-proc", default=None)
             command.add_argument("--mode", choices=(APPEND, REPLACE_MONTHS), default=APPEND)
-        if name in ("process", "book"):
+        if name in ("process", "book", "run"):
             command.add_argument("--force", action="store_true", help="run even if no file is waiting")
         if name in ("process", "run"):
             command.add_argument("--only-pending", action="store_true")
@@ -40,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"mensario-{args.command}").getOrCreate()
+    spark = cluster_session(f"mensario-{args.command}")
     lake = Lake(args.lake)
     if args.command in ("ingest", "run"):
         sources = {fv.SUBJECT_FATURAS: args.faturas, fv.SUBJECT_PAGAMENTOS: args.pagamentos}
@@ -52,14 +51,14 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.command == "check":
         for title, rows in monthly.book_checks(spark, lake, Period(args.ref_date, args.months)).items():
-            print(title)
+            print(f"{title}: {rows.count()} rows")
             rows.show()
     elif args.command == "book":
         period = Period(args.ref_date, args.months)
         monthly.build_book(spark, lake, period, args.dt_proc, args.mode, gate=not args.force)
     else:
         period = Period(args.ref_date, args.months)
-        monthly.run_month(spark, lake, sources, period, args.dt_proc, args.mode, args.only_pending)
+        monthly.run_month(spark, lake, sources, period, args.dt_proc, args.mode, args.only_pending, gate=not args.force)
 
 
 if __name__ == "__main__":

@@ -29,12 +29,13 @@ def strip_double_prefix(col: str) -> Column:
 
 
 def to_id(col: str) -> Column:
-    """Text to bigint. Like a non-ANSI cast, "345.0" is 345.
+    """Text to bigint. Like a non-ANSI cast, "345.0" is 345 and ".5" is 0.
 
     The pattern runs only for the text a plain conversion refuses.
     """
     integer_part = F.regexp_replace(col, r"^(\s*[+-]?\d+)\.\d*\s*$", "$1")
-    return F.coalesce(F.col(col).try_cast("bigint"), integer_part.try_cast("bigint"))
+    fraction_only = F.when(F.col(col).rlike(r"^\s*[+-]?\.\d+\s*$"), F.lit(0).cast("bigint"))
+    return F.coalesce(F.col(col).try_cast("bigint"), integer_part.try_cast("bigint"), fraction_only)
 
 
 def to_day(col: str) -> Column:

@@ -4,7 +4,8 @@ Adaptive execution splits an oversized shuffle partition of a left outer join
 only on the left. Payments are on the right, so a hot payment key would land in
 one task. Written as matched rows plus unmatched rows, the same result comes from
 an inner join, where either side may be split, and an anti join on distinct keys,
-which combines before it shuffles.
+which combines before it shuffles. There is no other form: no statistics are
+gathered first, and no job runs before the plan is used.
 """
 
 from __future__ import annotations
@@ -16,37 +17,6 @@ from pyspark.sql import functions as F
 
 KEYS = ("id_cliente", "id_fatura")
 
-# About the size from which adaptive execution regards a partition as skewed (256 MB).
-HOT_ROWS = 4_000_000
-
-_TRACKED_KEYS = 4096
-_SKETCH_GROUPS = 64
-
-
-def heaviest_key_rows(df: DataFrame, keys: Sequence[str] = KEYS) -> int:
-    """About how many rows the most frequent key has. Runs one job, returns one number.
-
-    Reads only the key columns and shuffles one small sketch per task. A key with
-    more than about 0.1 % of the rows is never missed.
-    """
-    hashed = (
-        df.where(F.expr(" and ".join(f"{k} is not null" for k in keys)))
-        .select(
-            F.xxhash64(*keys).alias("key"),
-            (F.spark_partition_id() % _SKETCH_GROUPS).alias("grp"),
-        )
-    )
-    top = (
-        hashed.groupBy("grp")
-        .agg(F.expr(f"approx_top_k_accumulate(key, {_TRACKED_KEYS})").alias("sketch"))
-        # Combining no sketches at all is an error; no group, no row.
-        .groupBy(F.lit(0).alias("all"))
-        .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED_KEYS}), 1)").alias("top"))
-        .select(F.try_element_at("top", F.lit(1))["count"].alias("rows"))
-        .first()
-    )
-    return (top and top["rows"]) or 0
-
 
 def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Left outer join as inner join plus anti join. A NULL key matches nothing, as in any join.
@@ -66,18 +36,7 @@ def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEY
     return matched.unionByName(unmatched.select(*left.columns, *empty))
 
 
-def left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left outer join that picks its form by the size of the heaviest right-hand key (one job)."""
-    if heaviest_key_rows(right, keys) >= hot_rows:
-        return left_join_split(left, right, keys)
-    return left.join(right, list(keys), "left")
-
-
-def join_faturas_pagamentos(
-    faturas: DataFrame, pagamentos: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def join_faturas_pagamentos(faturas: DataFrame, pagamentos: DataFrame) -> DataFrame:
     """Every invoice with each of its payments; unpaid ones with NULL payment columns.
 
     An invoice with several payments repeats, amount included.
@@ -87,7 +46,7 @@ def join_faturas_pagamentos(
         "id_fatura", "id_cliente", "dt_emissao", "dt_vencimento", "vlr_fatura", "vlr_pagto_min"
     )
     payment = pagamentos.select("id_pagamento", "id_fatura", "id_cliente", "dt_pagamento", "vlr_pagamento")
-    return left_join(invoice, payment, KEYS, hot_rows).select(
+    return left_join_split(invoice, payment).select(
         "id_cliente",
         "id_fatura",
         "dt_emissao",

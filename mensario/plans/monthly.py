@@ -1,7 +1,8 @@
 """The monthly runs: land files, build the trusted tables, build the book.
 
-A gate opens a run only if a landed file is waiting for it, and what a run used is
-recorded when it has succeeded, so a failed run can be repeated.
+A gate opens a run only if a landed file is waiting for it. What a run used is
+recorded once it has succeeded, and a run's rows are replaced when it is repeated under
+the same stamp, so a run that failed at any step can be repeated with its stamp.
 """
 
 from __future__ import annotations
@@ -14,20 +15,21 @@ from pyspark.sql import functions as F
 from mensario import fixed_values as fv
 from mensario.functions.period import Period, processing_stamp
 from mensario.operators.book import build_features
-from mensario.operators.inspection import bounds, in_period, repeated_keys
-from mensario.operators.joins import HOT_ROWS, join_faturas_pagamentos
+from mensario.operators.inspection import bounds, columns_of, in_period, months_present, repeated_keys, sample_rows
+from mensario.operators.joins import join_faturas_pagamentos
 from mensario.operators.stage import build_stage, with_window_flags
 from mensario.operators.trusted import TO_TRUSTED
-from mensario.sources.control import control_row_of_count, write_control
+from mensario.schemas import STAGE
+from mensario.sources.control import control_row, write_control
 from mensario.sources.lake import Lake, trusted_name
 from mensario.sources.tables import (
     APPEND,
     REPLACE_MONTHS,
     balance_by,
     scan_book,
-    scan_csv,
     scan_faturas,
     scan_pagamentos,
+    scan_parquet_or_empty,
     scan_stage,
     scan_trusted,
     write_book,
@@ -35,15 +37,19 @@ from mensario.sources.tables import (
     write_trusted,
 )
 from mensario.streaming.landing import (
+    finished,
     land_files,
     mark_processed,
     pending_batches,
     require_pending,
+    scan_raw,
     waiting_files,
 )
 
 SUBJECTS = (fv.SUBJECT_FATURAS, fv.SUBJECT_PAGAMENTOS)
 BOOK_CONSUMER = "book_fatura"
+#: Rows of a sample for the eye.
+SAMPLE = 5
 
 
 @dataclass(frozen=True)
@@ -70,8 +76,8 @@ def process(
 ) -> TrustedRun:
     """Raw to trusted for one subject, with its control row.
 
-    By default all raw files are read and appended, so a month already in the trusted
-    table is there twice afterwards. ``only_pending`` reads the batches not used before;
+    By default all raw files are read and appended, so a month that an earlier run wrote is
+    there twice afterwards; what an earlier try under the same ``dt_proc`` wrote is replaced. ``only_pending`` reads the batches not used before;
     ``replace_months`` swaps whole months and needs all raw files. Without ``gate`` a
     run over all files starts even if none is waiting.
     """
@@ -81,32 +87,38 @@ def process(
     open_gate = require_pending if gate or only_pending else waiting_files
     pending = open_gate(spark, lake, subject)
 
-    folder = lake.raw_data(subject)
-    paths = [f"{folder}/lote={lote}" for lote in pending_batches(pending)] if only_pending else [folder]
-    rows = balance_by(TO_TRUSTED[subject](scan_csv(spark, subject, *paths), dt_proc), "ref")
+    lotes = pending_batches(pending) if only_pending else None
+    rows = balance_by(TO_TRUSTED[subject](scan_raw(spark, lake, subject, lotes), dt_proc), "ref")
 
     # Counted in the stage that writes, so the count costs no second read.
     written = Observation(f"{subject}_{dt_proc}")
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    write_trusted(rows, lake.trusted(subject), mode)
+    write_trusted(rows, lake.trusted(subject), dt_proc, mode)
 
     count = written.get["rows"]
-    control = control_row_of_count(spark, trusted_name(subject), dt_proc, count)
+    control = control_row(spark, trusted_name(subject), dt_proc, count)
     write_control(control, lake.trusted_control(subject, dt_proc))
     mark_processed(pending, lake, subject, dt_proc)
     return TrustedRun(subject, dt_proc, count)
 
 
 def book_checks(spark: SparkSession, lake: Lake, period: Period) -> dict[str, DataFrame]:
-    """What to look at before a book: months covered and repeated keys, per subject.
+    """What to look at before a book: per subject its columns, a few rows, months present and covered, repeated
+    keys; and the date bounds of the stage, where there is one.
 
     Payments are checked on the same keys as invoices, so part-payments are listed as well.
     """
     checks = {}
     for subject in SUBJECTS:
-        rows = in_period(scan_trusted(spark, subject, lake.trusted(subject)), period)
+        table = scan_trusted(spark, subject, lake.trusted(subject))
+        rows = in_period(table, period)
+        checks[f"{subject}: columns"] = spark.createDataFrame(columns_of(table), "coluna string, tipo string")
+        checks[f"{subject}: a few rows"] = sample_rows(table, SAMPLE)
+        checks[f"{subject}: months present"] = months_present(table)
         checks[f"{subject}: months in the period"] = bounds(rows, "ref")
         checks[f"{subject}: keys that occur more than once"] = repeated_keys(rows)
+    stage = scan_parquet_or_empty(spark, STAGE, lake.stage).where(F.col("ref") == period.ref)
+    checks["stage: dates of issue"] = bounds(stage, "dt_emissao")
     return checks
 
 
@@ -117,11 +129,12 @@ def build_book(
     dt_proc: str | None = None,
     mode: str = APPEND,
     gate: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Trusted to stage to book; returns the stored book of this run.
 
-    The book is built from the stage just written, so the join runs once. Without
+    The book is built from the stage just written, so the join runs once. A try that failed
+    left nothing that counts: stage and book rows of the same ``ref`` and ``dt_proc`` are replaced. ``replace_months``
+    leaves this run alone for its ``ref``, in stage and book. Without
     ``gate`` it is built even if no file is waiting, such as for an earlier month.
     """
     dt_proc = dt_proc or processing_stamp()
@@ -130,17 +143,17 @@ def build_book(
 
     faturas = in_period(scan_faturas(spark, lake.trusted(fv.SUBJECT_FATURAS)), period)
     pagamentos = in_period(scan_pagamentos(spark, lake.trusted(fv.SUBJECT_PAGAMENTOS)), period)
-    joined = join_faturas_pagamentos(faturas, pagamentos, hot_rows)
-    write_stage(build_stage(joined, period, dt_proc), lake.stage, mode)
+    joined = join_faturas_pagamentos(faturas, pagamentos)
+    write_stage(build_stage(joined, period, dt_proc), lake.stage, dt_proc, mode)
 
     this_run = (F.col("ref") == period.ref) & (F.col("dt_proc") == dt_proc)
     # As constants again, the partition columns need no sort before the write.
     constants = {"ref": period.ref, "dt_proc": F.lit(dt_proc)}
     stage = scan_stage(spark, lake.stage).where(this_run).withColumns(constants)
-    write_book(build_features(with_window_flags(stage, period)), lake.book, mode)
+    write_book(build_features(with_window_flags(stage, period)), lake.book, dt_proc, mode)
 
-    for pending in waiting:
-        mark_processed(pending, lake, BOOK_CONSUMER, dt_proc)
+    # in one write: both subjects or none
+    mark_processed(waiting[0].unionByName(waiting[1]), lake, BOOK_CONSUMER, dt_proc)
     return scan_book(spark, lake.book).where(this_run)
 
 
@@ -152,10 +165,18 @@ def run_month(
     dt_proc: str | None = None,
     mode: str = APPEND,
     only_pending: bool = False,
+    gate: bool = True,
 ) -> DataFrame:
-    """Everything in order: land, both trusted tables, the book."""
+    """Everything in order: land, both trusted tables, the book.
+
+    A step this ``dt_proc`` has finished already is skipped, so a run that failed is repeated with its stamp and
+    goes on where it stopped. Without ``gate`` it runs even if no file is waiting.
+    """
     dt_proc = dt_proc or processing_stamp()
     ingest(spark, lake, sources)
     for subject in SUBJECTS:
-        process(spark, lake, subject, dt_proc, mode, only_pending)
-    return build_book(spark, lake, period, dt_proc, mode)
+        if not finished(spark, lake, subject, dt_proc):
+            process(spark, lake, subject, dt_proc, mode, only_pending, gate)
+    if finished(spark, lake, BOOK_CONSUMER, dt_proc):
+        return scan_book(spark, lake.book).where((F.col("ref") == period.ref) & (F.col("dt_proc") == dt_proc))
+    return build_book(spark, lake, period, dt_proc, mode, gate)

@@ -54,7 +54,12 @@ CONTROL = _struct(tb_name=T.StringType(), dt_proc=T.StringType(), qtd_registros=
 
 # One row per landed file, and one per file a trusted run has consumed.
 LANDED_FILE = _struct(
-    tb_name=T.StringType(), lote=T.StringType(), arquivo=T.StringType(), qtd_registros=T.LongType()
+    tb_name=T.StringType(),
+    lote=T.StringType(),
+    arquivo=T.StringType(),
+    modificado=T.TimestampType(),
+    tamanho=T.LongType(),
+    qtd_registros=T.LongType(),
 )
 PROCESSED_FILE = _struct(
     tb_name=T.StringType(),

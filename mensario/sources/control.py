@@ -9,15 +9,8 @@ from mensario.schemas import CONTROL
 from mensario.sources.tables import scan_parquet
 
 
-def control_row(df: DataFrame, tb_name: str, dt_proc: str) -> DataFrame:
-    """Table, run and row count, all as text, counting ``df``."""
-    return df.agg(F.count(F.lit(1)).cast("string").alias("qtd_registros")).select(
-        F.lit(tb_name).alias("tb_name"), F.lit(dt_proc).alias("dt_proc"), "qtd_registros"
-    )
-
-
-def control_row_of_count(spark: SparkSession, tb_name: str, dt_proc: str, qtd_registros: int) -> DataFrame:
-    """The same row from a count that is known already."""
+def control_row(spark: SparkSession, tb_name: str, dt_proc: str, qtd_registros: int) -> DataFrame:
+    """Table, run and row count, all as text. The count comes from the write it belongs to."""
     return spark.range(1).select(
         F.lit(tb_name).alias("tb_name"),
         F.lit(dt_proc).alias("dt_proc"),
@@ -26,7 +19,8 @@ def control_row_of_count(spark: SparkSession, tb_name: str, dt_proc: str, qtd_re
 
 
 def write_control(row: DataFrame, path: str) -> None:
-    row.write.mode("append").parquet(path)
+    """A run's own folder, so a repeated run replaces its row."""
+    row.write.mode("overwrite").parquet(path)
 
 
 def scan_control(spark: SparkSession, path: str) -> DataFrame:

@@ -6,27 +6,19 @@ are partition folders, and no read infers anything from the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mensario import fixed_values as fv
 from mensario.operators.features import BOOK_GRID
-from mensario.schemas import RAW, STAGE, TRUSTED
+from mensario.schemas import STAGE, TRUSTED
 
 APPEND = "append"
 REPLACE_MONTHS = "replace_months"
 
 
-def scan_csv(spark: SparkSession, subject: str, *paths: str) -> DataFrame:
-    """All CSV files below ``paths``, sub-folders included; every column is text."""
-    reader = spark.read.schema(RAW[subject]).option("header", True).option("recursiveFileLookup", True)
-    return reader.csv(list(paths))
-
-
 def scan_parquet(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
@@ -90,30 +82,45 @@ def balance_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
-def _partitioned(df: DataFrame, columns: Sequence[str], mode: str) -> DataFrameWriter:
-    writer = df.write.partitionBy(*columns)
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    location = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(location)
+    return sorted(str(status.getPath().toString()) for status in found or [])
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def _write_run(df: DataFrame, path: str, dt_proc: str, mode: str, **options: str) -> None:
+    """Parquet by month and run. What an earlier try of the same run left goes first, so a run can be repeated.
+
+    ``replace_months`` then removes all other runs of the months this one wrote.
+    """
+    spark = df.sparkSession
+    for left in _folders(spark, f"{path}/ref=*/dt_proc={dt_proc}"):
+        _delete(spark, left)
+    df.write.partitionBy("ref", "dt_proc").mode("append").options(**options).parquet(path)
     if mode == REPLACE_MONTHS:
-        return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    return writer.mode(mode)
+        for written in _folders(spark, f"{path}/ref=*/dt_proc={dt_proc}"):
+            for other in _folders(spark, f"{written.rpartition('/')[0]}/dt_proc=*"):
+                if other != written:
+                    _delete(spark, other)
 
 
-def write_trusted(df: DataFrame, path: str, mode: str = APPEND) -> None:
-    """Parquet by month. ``append`` repeats the rows of a repeated run; ``replace_months``
-    swaps the months present in ``df``. Expects balanced rows, see ``balance_by``."""
-    _partitioned(df, ["ref"], mode).parquet(path)
+def write_trusted(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> None:
+    """Expects balanced rows, see ``balance_by``. ``append`` adds a run beside earlier ones."""
+    _write_run(df, path, dt_proc, mode)
 
 
-def write_stage(df: DataFrame, path: str, mode: str = APPEND) -> None:
+def write_stage(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> None:
     """A run has one ``ref``, so there is nothing to gather before writing."""
-    _partitioned(df, ["ref"], mode).parquet(path)
+    _write_run(df, path, dt_proc, mode)
 
 
-def write_book(df: DataFrame, path: str, mode: str = APPEND) -> None:
-    """Parquet by reference month and run.
-
-    A Bloom filter per row group, sized to what it holds, lets the lookup of one customer
-    skip nearly all of a table that is spread by hash of the customer.
-    """
-    writer = _partitioned(df, ["ref", "dt_proc"], mode)
-    writer = writer.option("parquet.bloom.filter.enabled#id_cliente", "true")
-    writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
+def write_book(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> None:
+    """A Bloom filter per row group, sized to what it holds, lets the lookup of one customer
+    skip nearly all of a table that is spread by hash of the customer."""
+    bloom = {"parquet.bloom.filter.enabled#id_cliente": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    _write_run(df, path, dt_proc, mode, **bloom)

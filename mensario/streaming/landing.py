@@ -1,43 +1,34 @@
-"""Source files to the raw zone, each exactly once, with a control row per file.
+"""Source files to the raw zone, each version exactly once, with a control row per file.
 
-Landing is a file stream that takes whatever is new and stops. The checkpoint
-remembers the files taken. A batch writes to folders named after its number, data
-first and control after it, so a batch repeated after a failure replaces its own
-output and nothing else.
+A file is known by its full path, modification time and length. A version not landed
+before comes with the next batch; under a path landed before it supersedes the earlier
+rows. A batch writes data first and control after it, to folders named after its
+number. A batch that failed is not in the control table, so the next one takes its
+number and replaces what it left.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mensario.schemas import LANDED_FILE, PROCESSED_FILE, RAW
+from mensario.sources.files import list_files, read_by_header, to_files
 from mensario.sources.lake import Lake
 from mensario.sources.tables import scan_parquet_or_empty
 
+_VERSION = ["arquivo", "modificado", "tamanho"]
+LANDED_FILE_VERSION = T.StructType([LANDED_FILE[c] for c in _VERSION])
+#: Values come back from the raw zone as they were: blanks, quotes, backslashes, empty texts.
+_EXACT = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 class NothingToProcess(Exception):
     """No landed file is waiting for this subject."""
 
 
-def _with_file(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("arquivo"))
-
-
-def file_counts(rows: DataFrame, subject: str, lote: str) -> DataFrame:
-    """Rows per source file. A file with a header only has none and gets no row."""
-    return rows.groupBy("arquivo").agg(F.count(F.lit(1)).alias("qtd_registros")).select(
-        F.lit(subject).alias("tb_name"), F.lit(lote).alias("lote"), "arquivo", "qtd_registros"
-    )
-
-
-def _write_batch(rows: DataFrame, lake: Lake, subject: str, lote: str) -> None:
-    data = rows.select(*RAW[subject].fieldNames())
-    data.write.mode("overwrite").option("header", True).csv(f"{lake.raw_data(subject)}/lote={lote}")
-    control = file_counts(rows, subject, lote).drop("lote")
-    control.write.mode("overwrite").parquet(f"{lake.raw_control(subject)}/lote={lote}")
-
-
 def _prepare(spark: SparkSession, lake: Lake, subject: str) -> None:
     """Empty control tables where there are none, so that a gate can read them."""
     for schema, partition, path in (
@@ -47,44 +38,61 @@ def _prepare(spark: SparkSession, lake: Lake, subject: str) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").partitionBy(partition).parquet(path)
 
 
-def land_files(
-    spark: SparkSession, lake: Lake, subject: str, source: str, max_files_per_batch: int | None = None
-) -> None:
-    """Land the CSV files of ``source`` not landed before; a second run adds nothing."""
-    _prepare(spark, lake, subject)
-    reader = spark.readStream.schema(RAW[subject]).option("header", True).option("pathGlobFilter", "*.csv")
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        _write_batch(rows, lake, subject, f"s{batch_id:09d}")
-
-    query = (
-        _with_file(reader.csv(source))
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", lake.landing_checkpoint(subject))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def file_id(arquivo: str = "arquivo") -> F.Column:
+    return F.md5(F.col(arquivo).cast("binary"))
+
 
+def _write_batch(rows: DataFrame, files: DataFrame, lake: Lake, subject: str, lote: str) -> None:
+    """``files`` has a row for each file of the batch, ``rows`` what they hold. The files are parsed once."""
+    rows = rows.withColumn("arquivo_id", file_id()).persist(StorageLevel.DISK_ONLY)
+    try:
+        data = rows.select(*RAW[subject].fieldNames(), "arquivo_id")
+        data.write.mode("overwrite").partitionBy("arquivo_id").options(**_EXACT).csv(f"{lake.raw_data(subject)}/lote={lote}")
+        counts = rows.groupBy("arquivo").agg(F.count(F.lit(1)).alias("n"))
+        control = files.join(counts, "arquivo", "left").select(
+            F.lit(subject).alias("tb_name"), *_VERSION, F.coalesce("n", F.lit(0)).cast("long").alias("qtd_registros")
+        )
+        control.write.mode("overwrite").parquet(f"{lake.raw_control(subject)}/lote={lote}")
+    finally:
+        rows.unpersist()
 
-def land_files_batch(spark: SparkSession, lake: Lake, subject: str, source: str, lote: str) -> None:
-    """Land without a stream: files whose name has a control row already are left out.
 
-    ``lote`` names the run; repeating a failed run under the same name is safe.
-    """
+def land_files(spark: SparkSession, lake: Lake, subject: str, source: str) -> None:
+    """Land what ``source`` holds in versions not landed before; a second run adds nothing."""
     _prepare(spark, lake, subject)
-    reader = spark.read.schema(RAW[subject]).option("header", True).option("pathGlobFilter", "*.csv")
-    earlier = landed_files(spark, lake, subject).where(F.col("lote") != lote).select("arquivo")
-    fresh = _with_file(reader.csv(source)).join(earlier, "arquivo", "left_anti")
-    _write_batch(fresh, lake, subject, lote)
+    landed = landed_files(spark, lake, subject)
+    fresh = list_files(spark, source).join(landed.select(*_VERSION), _VERSION, "left_anti")
+    files = to_files(fresh)
+    if not files:
+        return
+    last = landed.agg(F.max("lote")).first()[0]
+    lote = f"s{int(last[1:]) + 1 if last else 0:09d}"
+    # as listed just now: a file that arrives meanwhile waits for the next batch
+    manifest = spark.createDataFrame([(f.arquivo, f.modificado, f.tamanho) for f in files], LANDED_FILE_VERSION)
+    _write_batch(read_by_header(spark, subject, files), manifest, lake, subject, lote)
 
 
 def landed_files(spark: SparkSession, lake: Lake, subject: str) -> DataFrame:
     return scan_parquet_or_empty(spark, LANDED_FILE, lake.raw_control(subject))
 
 
+def current_files(spark: SparkSession, lake: Lake, subject: str) -> DataFrame:
+    """Of each path the version landed last."""
+    newest = Window.partitionBy("arquivo").orderBy(F.col("lote").desc(), F.col("modificado").desc())
+    return landed_files(spark, lake, subject).withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+
+
+def scan_raw(spark: SparkSession, lake: Lake, subject: str, lotes: list[str] | None = None) -> DataFrame:
+    """The landed rows, without those of superseded files; of all batches or of ``lotes`` alone."""
+    current = current_files(spark, lake, subject)
+    if lotes is not None:
+        current = current.where(F.col("lote").isin(lotes))
+    current = current.where("qtd_registros > 0").select("lote", file_id().alias("arquivo_id"))
+    schema = T.StructType([*RAW[subject].fields, T.StructField("lote", T.StringType()), T.StructField("arquivo_id", T.StringType())])
+    rows = spark.read.schema(schema).options(**_EXACT).csv(lake.raw_data(subject))
+    return rows.join(current, ["lote", "arquivo_id"], "left_semi").select(*RAW[subject].fieldNames())
+
+
 def pending_files(spark: SparkSession, lake: Lake, subject: str, consumer: str | None = None) -> DataFrame:
     """Landed files of ``subject`` that ``consumer`` (by default the trusted run) has not used."""
     done = scan_parquet_or_empty(spark, PROCESSED_FILE, lake.processed_files).where(
@@ -114,6 +122,12 @@ def require_pending(spark: SparkSession, lake: Lake, subject: str, consumer: str
     return waiting
 
 
+def finished(spark: SparkSession, lake: Lake, consumer: str, dt_proc: str) -> bool:
+    """Whether ``consumer`` has recorded a run under this stamp."""
+    done = scan_parquet_or_empty(spark, PROCESSED_FILE, lake.processed_files)
+    return not done.where((F.col("consumidor") == consumer) & (F.col("dt_proc") == dt_proc)).isEmpty()
+
+
 def mark_processed(pending: DataFrame, lake: Lake, consumer: str, dt_proc: str) -> None:
     """Record that ``consumer`` has used the files, so that they no longer open its gate."""
     rows = pending.select("tb_name", "lote", "arquivo", F.lit(dt_proc).alias("dt_proc"))

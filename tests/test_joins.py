@@ -27,33 +27,27 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_both_forms_give_the_same_rows_and_columns(faturas, pagamentos):
-    plain = joins.join_faturas_pagamentos(faturas, pagamentos, hot_rows=10**9)
-    split = joins.join_faturas_pagamentos(faturas, pagamentos, hot_rows=1)
-    assert plain.columns == split.columns and plain.dtypes == split.dtypes
+def test_same_rows_and_columns_as_the_plain_join(faturas, pagamentos):
+    split = joins.join_faturas_pagamentos(faturas, pagamentos)
+    plain = faturas.join(pagamentos, list(joins.KEYS), "left").select(*split.columns)
+    assert plain.dtypes == split.dtypes
     assert rows_of(plain) == rows_of(split)
     # Every invoice once, plus one row per further payment.
-    assert plain.count() == 307 + 100
-    assert plain.where("dt_pagamento is null").where("id_fatura % 2 = 0 and id_cliente is not null").isEmpty()
+    assert split.count() == 307 + 100
+    assert split.where("dt_pagamento is null").where("id_fatura % 2 = 0 and id_cliente is not null").isEmpty()
 
 
-def test_heaviest_key_is_found(spark, pagamentos):
-    assert joins.heaviest_key_rows(pagamentos) == 101
-    assert joins.heaviest_key_rows(spark.createDataFrame([], PAGAMENTO)) == 0
-    only_null = spark.createDataFrame([(1, None, 5, DAY, 1)] * 50, PAGAMENTO)
-    assert joins.heaviest_key_rows(only_null) == 0
-
-
-def test_heaviest_key_is_found_among_many(spark):
-    many = spark.range(300_000).selectExpr(
-        "id as id_pagamento", "if(id % 3 = 0, 1, id) as id_cliente", "if(id % 3 = 0, 1, id) as id_fatura"
-    )
-    assert joins.heaviest_key_rows(many) >= 100_000
-    assert joins.heaviest_key_rows(many.where("id_pagamento % 3 <> 0")) < 10_000
+def test_building_the_join_starts_no_job(spark, faturas, pagamentos):
+    spark.sparkContext.setJobGroup("join", "building only")
+    try:
+        joins.join_faturas_pagamentos(faturas, pagamentos)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("join")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_split_form_joins_inner_where_adaptive_execution_can_split_payments(faturas, pagamentos, capsys):
-    joins.join_faturas_pagamentos(faturas, pagamentos, hot_rows=1).explain()
+def test_inner_join_where_adaptive_execution_can_split_payments(faturas, pagamentos, capsys):
+    joins.join_faturas_pagamentos(faturas, pagamentos).explain()
     plan = capsys.readouterr().out
     assert "LeftOuter" not in plan and "Inner" in plan and "LeftAnti" in plan
 
@@ -83,14 +77,11 @@ def test_a_hot_payment_key_is_split_at_run_time_and_invoices_shuffle_once(spark,
     try:
         for key, value in SKEW_SETTINGS.items():
             spark.conf.set(key, value)
-        plans, counts = {}, {}
-        for hot_rows in (1, 10**9):
-            df = joins.join_faturas_pagamentos(invoices, payments, hot_rows)
-            counts[hot_rows] = len(df.collect())
-            plans[hot_rows] = df._jdf.queryExecution().executedPlan().toString()
+        df = joins.join_faturas_pagamentos(invoices, payments)
+        n, plan = len(df.collect()), df._jdf.queryExecution().executedPlan().toString()
+        plain = invoices.join(payments, list(joins.KEYS), "left")
+        assert n == plain.count()
+        assert "skew=true" in plan and "ReusedExchange" in plan
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    assert counts[1] == counts[10**9]
-    assert "skew=true" in plans[1] and "ReusedExchange" in plans[1]
-    assert "skew=true" not in plans[10**9]

@@ -15,8 +15,9 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert list(entry_point.queries()) == list(QUERIES)
-    assert set(entry_point.oracle_sql()) == set(QUERIES)
+    found = entry_point.queries()
+    assert list(found)[: len(QUERIES)] == list(QUERIES)
+    assert set(QUERIES) <= set(entry_point.oracle_sql()) <= set(found)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -44,8 +44,8 @@ def test_bad_text_becomes_null_in_either_mode(spark, ansi):
 
 
 def test_ids_may_carry_a_fraction_and_blanks(spark):
-    assert evaluate(spark, ["345", " 345 ", "345.0", "-12.9", "+7", "1.2.3"], to_id("v")) == [
-        345, 345, 345, -12, 7, None
+    assert evaluate(spark, ["345", " 345 ", "345.0", "-12.9", "+7", "1.2.3", ".5", "-.9", "."], to_id("v")) == [
+        345, 345, 345, -12, 7, None, 0, 0, None
     ]
 
 

@@ -1,0 +1,42 @@
+"""Settings on a cluster, and scratch folders."""
+
+from types import SimpleNamespace
+
+import pytest
+from pyspark import SparkConf
+
+from mensario import session
+from verification.workspace import new_folder
+
+
+def test_recommended_settings_are_defaults_only(monkeypatch, spark):
+    applied = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def config(self, key, value):
+            applied[key] = value
+            return self
+
+        def getOrCreate(self):
+            return spark
+
+    monkeypatch.setattr(session, "SparkSession", SimpleNamespace(builder=Builder()))
+    monkeypatch.setattr(session, "SparkConf", lambda: SparkConf(False).set("spark.sql.session.timeZone", "CET"))
+    assert session.cluster_session("x") is spark
+    assert applied == {k: v for k, v in session.RECOMMENDED.items() if k != "spark.sql.session.timeZone"}
+
+
+def test_local_sessions_use_the_settings(spark):
+    for key, value in session.RECOMMENDED.items():
+        if not key.endswith("initialPartitionNum"):
+            assert spark.conf.get(key) == value
+
+
+def test_no_local_scratch_folder_on_a_cluster():
+    conf = SimpleNamespace(get=lambda key, default: default)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_folder(cluster)

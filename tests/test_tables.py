@@ -5,10 +5,10 @@ from mensario.operators.inspection import bounds, columns_of, in_period, months_
 from mensario.operators.trusted import trusted_faturas
 from mensario.schemas import RAW_FATURA, TRUSTED_FATURA
 from mensario.sources import control
+from mensario.sources.files import scan_csv
 from mensario.sources.tables import (
     REPLACE_MONTHS,
     balance_by,
-    scan_csv,
     scan_faturas,
     scan_parquet_or_empty,
     write_trusted,
@@ -21,7 +21,7 @@ def raw(spark, *months):
 
 
 def stored(spark, path, *months, mode="append", dt_proc="a"):
-    write_trusted(balance_by(trusted_faturas(raw(spark, *months), dt_proc), "ref"), path, mode)
+    write_trusted(balance_by(trusted_faturas(raw(spark, *months), dt_proc), "ref"), path, dt_proc, mode)
     return scan_faturas(spark, path)
 
 
@@ -37,7 +37,14 @@ def test_csv_scan_is_text_only_and_recursive(spark, tmp_path):
     assert back.exceptAll(raw(spark, "2024-01")).isEmpty()
 
 
-def test_append_repeats_and_replace_swaps_only_its_months(spark, tmp_path):
+def test_a_run_repeated_under_its_stamp_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for months in (("2024-01", "2024-02"), ("2024-02",)):
+        rows = stored(spark, path, *months)
+    assert rows.groupBy("ref", "dt_proc").count().collect() == [("202402", "a", 40)]
+
+
+def test_append_adds_and_replace_swaps_only_its_months(spark, tmp_path):
     path = str(tmp_path / "t")
     stored(spark, path, "2024-01", "2024-02")
     again = stored(spark, path, "2024-02", dt_proc="b")
@@ -71,14 +78,10 @@ def test_rows_without_a_month_are_outside_any_period(spark, period):
     assert df.count() == 1 and in_period(df, period).isEmpty()
 
 
-def test_control_row_both_ways(spark, tmp_path):
-    counted = control.control_row(raw(spark, "2024-01"), "tb_0001_fatura", "x")
-    known = control.control_row_of_count(spark, "tb_0001_fatura", "x", 40)
-    assert counted.collect() == known.collect() == [("tb_0001_fatura", "x", "40")]
-    assert counted.dtypes == known.dtypes
-    control.write_control(counted, str(tmp_path / "c"))
-    control.write_control(known, str(tmp_path / "c"))
-    assert control.scan_control(spark, str(tmp_path / "c")).count() == 2
+def test_control_row_of_a_repeated_run_is_there_once(spark, tmp_path):
+    for n in (39, 40):
+        control.write_control(control.control_row(spark, "tb_0001_fatura", "x", n), str(tmp_path / "c"))
+    assert control.scan_control(spark, str(tmp_path / "c")).collect() == [("tb_0001_fatura", "x", "40")]
 
 
 def test_missing_table_is_empty_but_other_errors_are_not_hidden(spark, tmp_path):

@@ -18,6 +18,8 @@ from mensario.schemas import MONEY
 # The tables' dates end in 2001; a first of month makes the windows whole months.
 PERIOD = Period(date(2001, 1, 1))
 DT_PROC = "20010105080000"
+# The stamp of a second run.
+AGAIN = "20010106080000"
 
 # One customer, for the point lookup.
 CUSTOMER = 345
@@ -83,6 +85,15 @@ def raw_of(spark: SparkSession, sf_dir: str, subject: str) -> DataFrame:
     return maker(spark, sf_dir)
 
 
+def put_file(spark: SparkSession, folder: str, target: str) -> None:
+    """The one data file a write left in ``folder``, copied to ``target`` in its place."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    to = jvm.org.apache.hadoop.fs.Path(target)
+    fs = to.getFileSystem(conf)
+    part = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*"))[0].getPath()
+    jvm.org.apache.hadoop.fs.FileUtil.copy(part.getFileSystem(conf), part, fs, to, False, True, conf)
+
+
 def faturas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trusted invoices the raw text types to, straight from the typed tables."""
     issued = F.to_date("o_orderdate")

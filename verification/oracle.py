@@ -10,8 +10,7 @@ lacks a due date or an amount.
 from __future__ import annotations
 
 from mensario import fixed_values as fv
-from mensario.operators.features import AVG, BOOK_GRID, SUM
-from verification.fixtures import CUSTOMER, DT_PROC, PERIOD
+from verification.fixtures import AGAIN, CUSTOMER, DT_PROC, PERIOD
 
 _REF_DATE = f"DATE '{PERIOD.ref_date.isoformat()}'"
 _FIRST = f"strftime({_REF_DATE} - INTERVAL {PERIOD.months} MONTH, '%Y%m')"
@@ -128,27 +127,57 @@ _UNITS = {
 _DECIMALS = ("fvl_vlr_fatura", "fvl_perc_vlr_fatura")
 
 
-def _feature(feature) -> str:
-    unit, scale = _UNITS[feature.value]
-    inside = f"{feature.label_column} = '{feature.label}'"
-    if feature.flag:
-        inside += f" AND {feature.flag} = 1"
+# What the book holds of each value, and how many aggregates that is: VAR_n is numbered by label, then value,
+# then window (all rows first), then aggregate.
+_AGGREGATES = (
+    ("fvl_vlr_fatura", "SUM AVG MIN MAX"),
+    ("fvl_qtd_transacao", "SUM"),
+    ("fvl_numero_dias_atraso", "AVG MIN MAX"),
+    ("fvl_perc_vlr_fatura", "AVG MIN MAX"),
+)
+_WINDOWS = ("", "flg_u1m", "flg_u3m", "flg_u6m", "flg_u9m", "flg_u12m")
+_LABELS = (
+    ("fbc_classif_pagto", "PAGAMENTO_NO_PRAZO"),
+    ("fbc_classif_pagto", "PAGAMENTO_ANTECIPADO"),
+    ("fbc_classif_pagto", "SEM_PAGAMENTO"),
+    ("fbc_classif_pagto", "PAGAMENTO_EM_ATRASO"),
+    ("fbc_classif_vlr_pagto", "VALOR_TOTAL"),
+    ("fbc_classif_vlr_pagto", "VALOR_PARCIAL"),
+    ("fbc_classif_vlr_pagto", "SEM_VALOR"),
+)
+
+
+def _number(label: int, value: int, window: int, aggregate: int) -> int:
+    """66 features a label; within a label the values start at 0, 24, 30 and 48."""
+    width = len(_AGGREGATES[value][1].split())
+    return 66 * label + (0, 24, 30, 48)[value] + width * window + aggregate + 1
+
+
+def _column(label: int, value: int, window: int, aggregate: int) -> str:
+    column, text = _LABELS[label]
+    source, kinds = _AGGREGATES[value]
+    unit, scale = _UNITS[source]
+    agg, name = kinds.split()[aggregate], f"VAR_{_number(label, value, window, aggregate)}"
+    inside = f"{column} = '{text}'" + (f" AND {_WINDOWS[window]} = 1" if window else "")
     case = f"CASE WHEN {inside} THEN {unit} END"
-    if feature.agg == AVG and feature.value in _DECIMALS:
+    if agg == "AVG" and source in _DECIMALS:
         total, n = f"SUM({case})", f"COUNT({case})"
         # COUNT is 0 where the sum is NULL; the divisor then does not matter.
         exact = f"({total} * 20000 + {n}) // (2 * GREATEST({n}, 1))"
-        return f"CAST({exact} AS DOUBLE) / {scale * 10000}.0::DOUBLE AS {feature.name}"
-    result = f"{feature.agg.upper()}({case})"
-    if feature.value in _DECIMALS:
-        return f"CAST({result} AS DOUBLE) / {scale}.0::DOUBLE AS {feature.name}"
-    if feature.agg == SUM:
-        return f"CAST({result} AS BIGINT) AS {feature.name}"
-    return f"{result} AS {feature.name}"
+        return f"CAST({exact} AS DOUBLE) / {scale * 10000}.0::DOUBLE AS {name}"
+    if source in _DECIMALS:
+        return f"CAST({agg}({case}) AS DOUBLE) / {scale}.0::DOUBLE AS {name}"
+    return f"CAST({agg}({case}) AS BIGINT) AS {name}" if agg == "SUM" else f"{agg}({case}) AS {name}"
 
 
 def _book(condition: str = "") -> str:
-    columns = ",\n  ".join(_feature(f) for f in BOOK_GRID.features())
+    columns = ",\n  ".join(
+        _column(label, value, window, aggregate)
+        for label in range(len(_LABELS))
+        for value, (_, kinds) in enumerate(_AGGREGATES)
+        for window in range(len(_WINDOWS))
+        for aggregate in range(len(kinds.split()))
+    )
     return _with(
         _STAGE,
         f"SELECT id_cliente, ref, dt_proc,\n  {columns}\nFROM w {condition} GROUP BY id_cliente, ref, dt_proc",
@@ -176,23 +205,29 @@ _TIMING_CLASS = "fbc_classif_pagto"
 ORACLE_SQL: dict[str, str] = {
     "csv_scan_faturas": _RAW_F,
     "csv_scan_pagamentos": _RAW_P,
+    "csv_scan_reordered": _RAW_F,
     "trusted_scan_faturas": _with(_TRUSTED, f"{_TYPED_F} f"),
     "trusted_scan_pagamentos": _with(_TRUSTED, f"{_TYPED_P} p"),
     "sink_trusted_faturas": _twice_by_month("f", "fat_cents"),
     "sink_trusted_pagamentos": _twice_by_month("p", "pag_cents"),
     "sink_stage": _with(_STAGE, f"{_STAGE_COLUMNS} FROM s"),
     "sink_book": _book(),
+    "stored_book_lookup": _book(f"WHERE id_cliente = {CUSTOMER}"),
+    "book_retry": _book(),
+    "book_replaced": _with(_STAGE, f"""
+      SELECT {_LAST} AS ref, '{AGAIN}' AS dt_proc, COUNT(*) AS qtd, 'stage' AS tabela FROM s HAVING COUNT(*) > 0
+      UNION ALL
+      SELECT {_LAST}, '{AGAIN}', COUNT(DISTINCT id_cliente), 'book' FROM s HAVING COUNT(*) > 0"""),
     "control_row": _with(_TRUSTED, f"""
       SELECT '{fv.TRUSTED_FATURAS}' AS tb_name, '{DT_PROC}' AS dt_proc,
              CAST(COUNT(*) AS VARCHAR) AS qtd_registros FROM f
       UNION ALL
       SELECT '{fv.TRUSTED_PAGAMENTOS}', '{DT_PROC}', CAST(COUNT(*) AS VARCHAR) FROM p"""),
-    "landing_ingest": _with(_TRUSTED, f"""
-      SELECT '{fv.SUBJECT_FATURAS}' AS tb_name, 'FAT-' || id_fatura AS id_fatura,
-             CAST(id_cliente AS VARCHAR) AS id_cliente, {_text('fat_cents')} AS valor FROM f
-      UNION ALL
-      SELECT '{fv.SUBJECT_PAGAMENTOS}', 'FAT-' || id_fatura, CAST(id_cliente AS VARCHAR),
-             {_text('pag_cents')} FROM p"""),
+    "landing_ingest_faturas": _RAW_F,
+    "landing_ingest_pagamentos": _RAW_P,
+    "landing_redelivery": _with(_TRUSTED, f"""SELECT 'FAT-' || id_fatura AS id_fatura, CAST(id_cliente AS VARCHAR) AS id_cliente,
+      strftime(dt_emissao, '%Y-%m-%d') AS data_emissao, strftime(dt_vencimento, '%Y-%m-%d') AS data_vencimento,
+      {_text('((fat_cents + 5) // 10)')} AS valor_fatura, {_text(_MINIMUM)} AS valor_pagamento_minimo FROM f"""),
     "landing_control": _with(_TRUSTED, f"""
       SELECT '{fv.SUBJECT_FATURAS}' AS tb_name, COUNT(*) AS qtd_registros FROM f
       UNION ALL SELECT '{fv.SUBJECT_PAGAMENTOS}', COUNT(*) FROM p"""),

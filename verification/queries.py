@@ -13,11 +13,11 @@ from mensario import fixed_values as fv
 from mensario.operators import inspection, joins, stage, trusted
 from mensario.operators.book import book_of, build_features
 from mensario.plans import monthly
-from mensario.sources import control, tables
+from mensario.sources import control, files, tables
 from mensario.sources.lake import Lake
 from mensario.streaming import landing
 from verification import fixtures as fx
-from verification.fixtures import DT_PROC, PERIOD
+from verification.fixtures import AGAIN, DT_PROC, PERIOD
 from verification.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,13 +92,21 @@ def source_files(spark: SparkSession, d: str, subject: str) -> str:
 
 
 def csv_scan(subject: str) -> Query:
-    return lambda spark, d: tables.scan_csv(spark, subject, source_files(spark, d, subject))
+    return lambda spark, d: files.scan_csv(spark, subject, source_files(spark, d, subject))
+
+
+def csv_scan_reordered(spark: SparkSession, d: str) -> DataFrame:
+    """Invoices from a file with its columns the other way round and one column too many."""
+    folder = f"{new_folder(spark)}/{FATURAS}"
+    raw = fx.raw_of(spark, d, FATURAS)
+    raw.select(F.lit("x").alias("observacao"), *reversed(raw.columns)).write.option("header", True).csv(folder)
+    return files.scan_csv(spark, FATURAS, folder)
 
 
 def stored_trusted(spark: SparkSession, d: str, subject: str) -> str:
     folder = new_folder(spark)
     rows = trusted.TO_TRUSTED[subject](fx.raw_of(spark, d, subject), DT_PROC)
-    tables.write_trusted(tables.balance_by(rows, "ref"), folder)
+    tables.write_trusted(tables.balance_by(rows, "ref"), folder, DT_PROC)
     return folder
 
 
@@ -111,8 +119,9 @@ def trusted_sink(subject: str, amount: str) -> Query:
 
     def query(spark: SparkSession, d: str) -> DataFrame:
         folder = stored_trusted(spark, d, subject)
-        again = trusted.TO_TRUSTED[subject](fx.raw_of(spark, d, subject), DT_PROC)
-        tables.write_trusted(tables.balance_by(again, "ref"), folder)
+        for stamp in (AGAIN, AGAIN):  # a run repeated under its stamp counts once
+            again = trusted.TO_TRUSTED[subject](fx.raw_of(spark, d, subject), stamp)
+            tables.write_trusted(tables.balance_by(again, "ref"), folder, stamp)
         return (
             tables.scan_trusted(spark, subject, folder)
             .groupBy("ref")
@@ -124,22 +133,54 @@ def trusted_sink(subject: str, amount: str) -> Query:
 
 def stored_stage(spark: SparkSession, d: str) -> DataFrame:
     folder = new_folder(spark)
-    tables.write_stage(stage_rows(spark, d), folder)
+    tables.write_stage(stage_rows(spark, d), folder, DT_PROC)
     return tables.scan_stage(spark, folder)
 
 
 def stored_book(spark: SparkSession, d: str) -> DataFrame:
     folder = new_folder(spark)
-    tables.write_book(book(spark, d), folder)
+    tables.write_book(book(spark, d), folder, DT_PROC)
     return tables.scan_book(spark, folder)
 
 
+def stored_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """One customer out of the stored book."""
+    return book_of(stored_book(spark, d), fx.CUSTOMER)
+
+
+def trusted_lake(spark: SparkSession, d: str) -> Lake:
+    """A lake with both trusted tables of one run."""
+    lake = Lake(new_folder(spark))
+    for subject in monthly.SUBJECTS:
+        rows = trusted.TO_TRUSTED[subject](fx.raw_of(spark, d, subject), DT_PROC)
+        tables.write_trusted(tables.balance_by(rows, "ref"), lake.trusted(subject), DT_PROC)
+        landing._prepare(spark, lake, subject)
+    return lake
+
+
+def book_retry(spark: SparkSession, d: str) -> DataFrame:
+    """A book whose first try ended after the stage was written, built again under the same stamp."""
+    lake = trusted_lake(spark, d)
+    tables.write_stage(stage_rows(spark, d), lake.stage, DT_PROC)
+    return monthly.build_book(spark, lake, PERIOD, DT_PROC, gate=False)
+
+
+def book_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """What stage and book hold for the month after a second run in place of the first."""
+    lake = trusted_lake(spark, d)
+    for stamp in (DT_PROC, AGAIN):
+        monthly.build_book(spark, lake, PERIOD, stamp, tables.REPLACE_MONTHS, gate=False)
+    stored = {"stage": tables.scan_stage(spark, lake.stage), "book": tables.scan_book(spark, lake.book)}
+    parts = [df.groupBy("ref", "dt_proc").agg(F.count(F.lit(1)).alias("qtd")).withColumn("tabela", F.lit(name)) for name, df in stored.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def control_rows(spark: SparkSession, d: str) -> DataFrame:
     """Written and read back, one row per subject."""
     lake = Lake(new_folder(spark))
     names = {FATURAS: fv.TRUSTED_FATURAS, PAGAMENTOS: fv.TRUSTED_PAGAMENTOS}
     for subject, name in names.items():
-        row = control.control_row(fx.raw_of(spark, d, subject), name, DT_PROC)
+        row = control.control_row(spark, name, DT_PROC, fx.raw_of(spark, d, subject).count())
         control.write_control(row, lake.trusted_control(subject, DT_PROC))
     stored = [control.scan_control(spark, lake.trusted_control(s, DT_PROC)) for s in names]
     return reduce(DataFrame.unionByName, stored)
@@ -154,16 +195,22 @@ def landed_lake(spark: SparkSession, d: str) -> Lake:
     return lake
 
 
-def landing_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """All landed payments and invoices, in the columns they share."""
-    lake = landed_lake(spark, d)
-    landed = [tables.scan_csv(spark, s, lake.raw_data(s)) for s in monthly.SUBJECTS]
-    amounts = [landed[0].valor_fatura, landed[1].valor_pagamento]
-    rows = [
-        df.select(F.lit(s).alias("tb_name"), "id_fatura", "id_cliente", amount.alias("valor"))
-        for s, df, amount in zip(monthly.SUBJECTS, landed, amounts, strict=True)
-    ]
-    return rows[0].unionByName(rows[1])
+def landing_ingest(subject: str) -> Query:
+    """All landed rows of the subject, every column."""
+    return lambda spark, d: landing.scan_raw(spark, landed_lake(spark, d), subject)
+
+
+def landing_redelivery(spark: SparkSession, d: str) -> DataFrame:
+    """Invoices landed, then delivered again under the same file names with a tenth of the amounts; only these count."""
+    lake, source = Lake(new_folder(spark)), new_folder(spark)
+    raw = fx.raw_of(spark, d, FATURAS).coalesce(1)
+    for factor in ("1", "0.1"):
+        amount = (F.col("valor_fatura").cast("decimal(14,2)") * F.lit(factor).cast("decimal(2,1)")).cast("decimal(14,2)")
+        fresh = new_folder(spark)
+        raw.withColumn("valor_fatura", amount.cast("string")).write.option("header", True).csv(fresh)
+        fx.put_file(spark, fresh, f"{source}/faturas.csv")
+        landing.land_files(spark, lake, FATURAS, source)
+    return landing.scan_raw(spark, lake, FATURAS)
 
 
 def landing_control(spark: SparkSession, d: str) -> DataFrame:
@@ -194,14 +241,20 @@ def point_lookup(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "csv_scan_faturas": csv_scan(FATURAS),
     "csv_scan_pagamentos": csv_scan(PAGAMENTOS),
+    "csv_scan_reordered": csv_scan_reordered,
     "trusted_scan_faturas": trusted_scan(FATURAS),
     "trusted_scan_pagamentos": trusted_scan(PAGAMENTOS),
     "sink_trusted_faturas": trusted_sink(FATURAS, "vlr_fatura"),
     "sink_trusted_pagamentos": trusted_sink(PAGAMENTOS, "vlr_pagamento"),
     "sink_stage": stored_stage,
     "sink_book": stored_book,
+    "stored_book_lookup": stored_lookup,
+    "book_retry": book_retry,
+    "book_replaced": book_replaced,
     "control_row": control_rows,
-    "landing_ingest": landing_ingest,
+    "landing_ingest_faturas": landing_ingest(FATURAS),
+    "landing_ingest_pagamentos": landing_ingest(PAGAMENTOS),
+    "landing_redelivery": landing_redelivery,
     "landing_control": landing_control,
     "control_gate": control_gate,
     "normalize_faturas": lambda spark, d: trusted.normalize_faturas(fx.raw_faturas(spark, d)),
