@@ -352,11 +352,11 @@ def _best_cut(top: np.ndarray, y: np.ndarray) -> float:
 def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_LABEL) -> Network:
     """Trained on about ``rows`` texts of each label (fewer where there are fewer), never on held-out ones.
 
-    Labels but 0 and 1 and NULL texts are left out; a document with several labels counts as toxic if one says so.
+    The ids of the sample are broadcast, its texts come to the driver. Labels but 0 and 1 and NULL texts are left out; a document with several labels counts as toxic if one says so.
     """
     known = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = stratified(known, "toxic", "doc_id", rows)
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").distinct().collect()
+    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").distinct().collect()
     sample = sorted((r["doc_id"], r["text"], r["toxic"]) for r in sample)
     return train([tokens(s[1]) for s in sample], [s[2] for s in sample])
 
