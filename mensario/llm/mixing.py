@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mensario.llm.common import cut, slices
+from mensario.llm.common import cut
 
 WEIGHTS = (5, 2, 1)
 TILTS = (-0.5, 0.0, 0.5)
@@ -71,9 +71,9 @@ def plan(docs: DataFrame, **rules) -> DataFrame:
     texts without words have size 0 and are never taken. No rows give no rows. Any NULL source is one source.
     """
     units = cut(docs.select("doc_id", "source", words().alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")))
-    n_slices = slices(units.count(), 2000, 512, 65536)
-    key = F.xxhash64("doc_id", "size", F.lit(9))
-    placed = units.withColumn("key", key).withColumn("slice", F.pmod("key", F.lit(n_slices))).withColumn("mass", F.col("size") * F.col("rows"))
+    digits = 3 if units.count() < 16**3 * 10_000 else 4  # slices: 4096, or 65536 for many rows
+    key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("size").cast("string")).cast("binary"))
+    placed = units.withColumn("key", key).withColumn("slice", F.substring("key", 1, digits)).withColumn("mass", F.col("size") * F.col("rows"))
     per_slice = cut(placed.groupBy("source", "slice").agg(F.sum("mass").alias("slice_mass")))
     so_far = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     goals = targets(per_slice.groupBy("source").agg(F.sum("slice_mass").alias("source_size")), **rules)

@@ -74,4 +74,50 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_html, op4_lines, op5_decontamination, op6_language, op7_toxicity, op8_embeddings, op9_mixing, op10_shards)}
 
-ORACLE_SQL: dict[str, str] = {}
+# The same results as DuckDB SQL, for the operators SQL can express.
+
+_OP5 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g FROM s),
+lens AS (SELECT DISTINCT n FROM win),
+pos AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n),
+hits AS (SELECT DISTINCT p.doc_id, p.i, p.n, win.item FROM (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM pos) p JOIN win USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS x FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+_OP8 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c"""
+
+_OP9 = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS r FROM d GROUP BY source),
+w AS (SELECT *, CASE (r - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+             CASE (r - 1) % 3 WHEN 0 THEN -0.5::DOUBLE WHEN 1 THEN 0::DOUBLE ELSE 0.5::DOUBLE END AS tilt, 2 * source_size AS cap FROM s),
+l AS (SELECT *, (1.5::DOUBLE * CAST(sum(source_size) OVER () AS BIGINT)
+                 - coalesce(CAST(sum(cap) OVER (ORDER BY cap / weight::DOUBLE, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0))
+                / CAST(sum(weight) OVER (ORDER BY cap / weight::DOUBLE, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS level FROM w),
+f AS (SELECT *, first_value(CASE WHEN cap > weight * level THEN level END IGNORE NULLS)
+                  OVER (ORDER BY cap / weight::DOUBLE, r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM l),
+t AS (SELECT source, source_size, tilt, CASE WHEN stop IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, weight * stop) END AS target FROM f),
+u AS (SELECT doc_id, source, size, count(*) AS n, size * count(*) AS mass, md5(concat_ws(':', doc_id, size)) AS k FROM d GROUP BY doc_id, source, size),
+o AS (SELECT *, coalesce(CAST(sum(mass) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start FROM u),
+c AS (SELECT o.*, t.source_size, t.target, t.tilt,
+             CASE WHEN mass = 0 THEN 0 ELSE least(2, greatest(0, CAST(ceil((target - start - mass / 2::DOUBLE) / nullif(source_size, 0)) AS BIGINT))) END AS copies
+      FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source),
+p AS (SELECT *, least(1.0::DOUBLE, start / nullif(target, 0)) AS x FROM c)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken,
+       CASE WHEN copies > 0 THEN greatest(0.0::DOUBLE, CASE WHEN tilt = 0 THEN x ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * x) - (1 - tilt)) / (2 * tilt) END) END AS position
+FROM p, unnest(range(n)) AS g(i)"""
+
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op8_embeddings": _OP8, "op9_mixing": _OP9}
