@@ -61,7 +61,7 @@ def stratified(df: DataFrame, stratum: str, key: str, per_stratum: int, max_stra
         [(row[0], min(1.0, per_stratum / row[1])) for row in counts], f"`{stratum}` {df.schema[stratum].dataType.simpleString()}, _rate double"
     )
     share = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return df.join(F.broadcast(rates), stratum).where(share < F.col("_rate")).drop("_rate")
+    return df.join(F.broadcast(rates), stratum).where(share < F.col("_rate")).select(*df.columns)
 
 
 def slices(n_rows: int, rows_each: int, least: int, most: int) -> int:

@@ -96,12 +96,12 @@ def mix(docs: DataFrame, **rules) -> DataFrame:
     """``docs`` as the mix takes them, each row as often as planned, range-sorted by training position."""
     chosen = plan(docs, **rules).where("copies > 0")
     each = chosen.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "source_size", "target", "start", "tilt", "copies"
+        F.col("doc_id").alias("plan_id"), F.col("source").alias("plan_source"), F.col("size").alias("plan_size"), "source_size", "target", "start", "tilt", "copies"
     )
-    own = [F.col(f"d.`{c}`") for c in docs.columns]
-    matched = docs.alias("d").join(
-        each, F.col("d.doc_id").eqNullSafe(F.col("_id")) & F.col("d.source").eqNullSafe(F.col("_source")) & (words("d.text") == F.col("_size"))
-    )
+    # the row in one column, so that no name of the table meets one of the plan
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("row_id"), F.col("source").alias("row_source"), words().alias("row_size"))
+    matched = rows.join(each, F.col("row_id").eqNullSafe(F.col("plan_id")) & F.col("row_source").eqNullSafe(F.col("plan_source")) & (F.col("row_size") == F.col("plan_size")))
     epoch = F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1))
-    due = F.least(F.lit(1.0), (F.col("start") + F.col("_epoch") * F.col("source_size")) / F.nullif("target", F.lit(0.0)))
-    return matched.withColumn("_epoch", epoch).withColumn("_due", position(due, F.col("tilt"))).repartitionByRange("_due", "_id").sortWithinPartitions("_due", "_id").select(*own)
+    due = F.least(F.lit(1.0), (F.col("start") + F.col("epoch") * F.col("source_size")) / F.nullif("target", F.lit(0.0)))
+    timed = matched.withColumn("epoch", epoch).withColumn("due", position(due, F.col("tilt")))
+    return timed.repartitionByRange("due", "row_id").sortWithinPartitions("due", "row_id").select("row.*")

@@ -160,13 +160,14 @@ class Formats:
 
 
 def fit(labelled: dict[str, list[str]], plain: list[str]) -> Formats:
-    """Automata of each kind with values, and the margin: no ordinary run of the sample passes it, nor a value less
-    likely than nine in ten labelled ones of that length are."""
+    """Automata of each kind with values, and the margin: halfway from the likeliest ordinary run of the sample to
+    the labelled credential that 99 in 100 are likelier than; where the two overlap, no ordinary run passes."""
     automata = [infer(v) for k, v in sorted(labelled.items()) if v]
     formats = Formats(automata, infer(plain), math.inf)
     known = sorted(formats.odds(v) for values in labelled.values() for v in values if len(v) >= SHORTEST)
     if known:
-        formats.margin = max([known[len(known) // 10], 0.1, *(formats.odds(v) for v in plain)])
+        high = max([0.1, *(formats.odds(v) for v in plain)])
+        formats.margin = max(high, (high + known[len(known) // 100]) / 2)
     return formats
 
 

@@ -1,0 +1,53 @@
+import numpy as np
+import pytest
+
+from mensario.llm import cover
+from mensario.llm.queries import op8_embeddings
+from tests.llm.conftest import classes_of
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def brute(ids, vectors, cosine=0.9):
+    x = np.array(vectors, float)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    close = x @ x.T >= cosine
+    np.fill_diagonal(close, False)
+    root = classes_of(len(ids), zip(*np.nonzero(close)))
+    least = {k: min(i for i, r in zip(ids, root) if r == k) for k in set(root)}
+    return sorted((i, int(n), least[r], i == least[r]) for i, n, r in zip(ids, close.sum(axis=1), root))
+
+
+def test_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
+    assert sorted(map(tuple, op8_embeddings(spark, SMALL).collect())) == brute([r.vec_id for r in rows], [r.embedding for r in rows])
+
+
+@pytest.mark.parametrize("block", [16, 2048])
+def test_clusters_copies_and_unusable_vectors(spark, monkeypatch, block):
+    monkeypatch.setattr(cover, "BLOCK", block)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(12, 16))
+    vectors = [c + rng.normal(scale=s, size=16) for c in centres for s in (0.01, 0.1, 0.3, 0.3, 0.5, 0.8)] + [centres[0]] * 20 + [centres[1] * 1e200]
+    ids = [int(i) for i in rng.permutation(len(vectors))]
+    bad = [None, [], [0.0] * 16, [float("nan")] * 16, [1.0, None], [float("inf")] + [0.0] * 15]
+    odd = [(1000 + i, v, 1, "x", 2) for i, v in enumerate(bad)] + [(2000, [1.0, 0.0], 1, "x", 2), (2001, [1.0, 0.1], 1, "x", 2), (None, [1.0, 0.0], 1, "x", 2)]
+    rows = [(i, [float(e) for e in v], 1, "x", 2) for i, v in zip(ids, vectors)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, label int, rep string, block int")
+    found = sorted((tuple(r) for r in cover.links(df).collect()), key=repr)
+    want = brute(ids, vectors) + [(1000 + i, 0, 1000 + i, True) for i in range(len(bad))] + [(2000, 1, 2000, True), (2001, 1, 2000, False), (None, 0, None, False)]
+    assert found == sorted(want, key=repr)
+    assert cover.links(df.limit(0)).collect() == []
+
+
+def test_levels_are_nested_and_cover():
+    x = cover.unit(np.random.default_rng(2).normal(size=(500, 4)))
+    order, numbers = cover.cover_tree(x)
+    tree = cover.Tree.of(x[order], numbers)
+    assert sorted(order) == list(range(500))
+    for begin, below in zip(tree.begin, tree.begin[1:]):
+        assert set(begin) <= set(below)
+    for limit, begin, radius in zip(cover.LEVELS, tree.begin, tree.radius):
+        assert radius.max() <= limit + 1e-3
+        assert len(begin) == len(radius)

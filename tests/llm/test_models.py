@@ -1,0 +1,112 @@
+"""Language and toxicity networks."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from mensario.llm import langid, toxicity
+from mensario.llm.common import stratified, table
+from mensario.llm.queries import op6_language
+from tests.llm.conftest import ODD
+
+MORE = "/root/testdata/sf0.01"
+
+
+def test_language_of_held_out_texts(spark):
+    found = op6_language(spark, MORE).join(table(spark, MORE, "documents").select("doc_id", "lang"), "doc_id")
+    held = found.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*"), F.max("score"), F.min("score")).first()
+    assert held[0] >= 0.97 and held[1] > 100 and 0 <= held[3] <= held[2] <= 1
+
+
+def test_language_of_odd_rows(docs, odd):
+    net = langid.train(["the house and the garden of the man"] * 40 + ["der Hund und das Haus von dem Mann"] * 40, ["en"] * 40 + ["de"] * 40)
+    found = {r.doc_id: r for r in langid.predict(odd, net).collect()}
+    assert langid.predict(odd, net).count() == len(ODD)
+    assert [found[i].lang_pred for i in (1, 2, 3, 4)] == ["und"] * 4 and found[5].lang_pred in ("en", "de")
+    assert found[4].score == 0 and not found[None].held_out
+    kept = langid.identified(odd, net, 0.0)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {None, 5, 6}
+    assert {r.lang_pred for r in langid.predict(odd, langid.learn(docs([]))).collect()} == {"und"}
+    assert langid.predict(docs([]), net).collect() == []
+
+
+def test_every_window_counts():
+    net = langid.train(["the house and the garden of the man"] * 40 + ["der Hund und das Haus von dem Mann"] * 40, ["en"] * 40 + ["de"] * 40)
+    names, _ = langid.score(net, ["the man of the house " * 3 + "der Hund und das Haus " * 60])
+    assert names == ["de"]
+
+
+def _numeric(f, array, at, step=1e-3):
+    old = array[at]
+    array[at] = old + step
+    up = f()
+    array[at] = old - step
+    down = f()
+    array[at] = old
+    return (up - down) / (2 * step)
+
+
+def test_recurrent_gradients_and_the_fast_form():
+    rng = np.random.default_rng(0)
+    net = toxicity.Network.fresh(rng)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words = [f"wort{i}" for i in range(9)]
+    ids = np.full((3, toxicity.WINDOW), -1)
+    for row, n in zip(ids, (16, 5, 1)):
+        row[:n] = rng.integers(0, 9, n)
+    y = np.array([1, 0, 1])
+
+    def loss():
+        vec = np.concatenate([net.inputs(words)[0], np.zeros((1, 2 * toxicity.DIM))])
+        z = net.run(*((vec @ net.p[f"x{d}"] + net.p[f"c{d}"])[ids] for d in "fb"), ids >= 0)
+        return float(np.mean(np.logaddexp(0, z) - y * z))
+
+    grads = net.gradients(words, ids, y)
+    rows = toxicity.grams(words)[0]
+    for name in net.p:
+        at = {"words": (int(toxicity.word_rows(words)[2]), 1), "grams": (int(rows[3]), 2), "o": (3,), "ob": (0,), "av": (1,)}.get(name, (1,) * net.p[name].ndim)
+        assert abs(grads[name][at] - _numeric(loss, net.p[name], at)) < 1e-3, name
+    net.p = {k: v.astype(np.float32) for k, v in net.p.items()}
+    docs = [[words[i] for i in row if i >= 0] for row in ids]
+    slow = net.run(*((np.concatenate([net.inputs(words)[0], np.zeros((1, 16), np.float32)]) @ net.p[f"x{d}"] + net.p[f"c{d}"])[ids] for d in "fb"), ids >= 0)
+    fast = np.concatenate([x for _, x in net.windows(docs)])
+    assert np.allclose(slow, fast, atol=1e-4)
+
+
+PLAIN = "over the hills and far away there is a house with a garden and a well".split()
+
+
+def _texts(rng, n):
+    rows = []
+    for i in range(n):
+        words = [rng.choice(PLAIN) for _ in range(rng.randint(3, 120))]
+        toxic = i % 3 == 0
+        if toxic:
+            words[rng.randrange(len(words))] = rng.choice(["grumbux", "zorkelig", "zorkelt"])
+        rows.append((i, " ".join(words), toxic))
+    return rows
+
+
+def test_one_toxic_word_anywhere_is_found(spark, docs, rng):
+    rows = _texts(rng, 600)
+    labels = spark.createDataFrame([(i, int(t), 1) for i, _, t in rows] + [(1, None, 1), (2, 7, 1)], "doc_id long, toxic int, score int")
+    df = docs([r[:2] for r in rows] + [(9999, " ".join(PLAIN * 3000 + ["zorkeln"] + PLAIN * 2000))])
+    found = {r.doc_id: r for r in toxicity.predict(df, toxicity.learn(df, labels)).collect()}
+    held = [(found[i].predicted, int(t)) for i, _, t in rows if found[i].held_out]
+    assert len(held) > 80 and sum(a == b for a, b in held) / len(held) >= 0.97
+    assert found[9999].predicted == 1 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
+
+
+def test_toxicity_of_odd_rows(spark, docs, odd):
+    net = toxicity.train([["fine"]] * 20 + [["grumbux"]] * 20 + [[]], [0] * 20 + [1] * 20 + [0])
+    assert toxicity.predict(odd, net).count() == len(ODD)
+    assert {r.score for r in toxicity.predict(odd, net).where("doc_id IN (1, 2, 3)").collect()} == {0.0}
+    assert toxicity.predict(docs([]), net).collect() == []
+    labels = spark.createDataFrame([(5, 0)], "doc_id long, toxic int")
+    assert {r.predicted for r in toxicity.predict(odd, toxicity.learn(odd, labels)).collect()} == {0}
+    assert {r.predicted for r in toxicity.predict(odd, toxicity.learn(odd, labels.limit(0))).collect()} == {0}
+
+
+def test_samples_are_bounded_and_agree(spark):
+    df = spark.range(20_000).selectExpr("id", "if(id % 100 = 0, 'rare', 'common') as s")
+    one, two = (sorted(tuple(r) for r in stratified(df, "s", "id", 500).collect()) for _ in range(2))
+    assert one == two and sum(s == "rare" for _, s in one) == 200 and 350 < sum(s == "common" for _, s in one) < 650
