@@ -27,6 +27,8 @@ from mensario.llm.components import components
 COSINE = 0.9
 #: Vectors of a block, and rows of a block compared at a time.
 BLOCK, STRIP = 2048, 256
+#: Children pairs from which two nodes are compared by a matrix product, and pairs unrolled at a time.
+WIDE, PORTION = 4096, 100_000
 #: Radii from 2 (any two unit vectors) down; below the last, points are leaves of their node.
 LEVELS = (2.0, 1.0, 0.5, 0.25)
 #: Bounds are widened by this much: the first look at a pair is in single precision.
@@ -110,7 +112,7 @@ class Tree:
 def dual(p: Tree, q: Tree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (row of p, row of q) at ``cosine`` or more; if p is q, each pair once and no row with itself."""
     reach, same = math.sqrt(2 - 2 * cosine) + SLACK, p is q
-    fast = [[(t.x[b].astype(np.float32), r) for b, r in zip(t.begin, t.radius)] for t in (p, q)]
+    fast = [[(t.x[b].astype(np.float32), r.astype(np.float32)) for b, r in zip(t.begin, t.radius)] for t in (p, q)]
     todo = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while todo:
         depth, a, b = todo.pop()
@@ -121,26 +123,50 @@ def dual(p: Tree, q: Tree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarr
             yield a[hit], b[hit]
             continue
         found = []
-        width_a, width_b = np.diff(p.child[depth])[a], np.diff(q.child[depth])[b]
-        single = (width_a == 1) & (width_b == 1)
-        if single.any():  # the child has its parent's centre and range: nothing to learn above the leaves
-            found.append((p.child[depth][a[single]], q.child[depth][b[single]]))
         (u, ru), (v, rv) = fast[0][depth + 1], fast[1][depth + 1]
-        for i, j in zip(a[~single].tolist(), b[~single].tolist()):
-            first, end = q.child[depth][j : j + 2]
-            for s in range(p.child[depth][i], p.child[depth][i + 1], STRIP):
-                e = min(s + STRIP, p.child[depth][i + 1])
-                t = max(first, s) if same and i == j else first
-                widest = min(2.0, ru[s:e].max() + rv[t:end].max() + reach)
-                close = u[s:e] @ v[t:end].T
-                rows, cols = np.nonzero(close >= 1 - 0.5 * widest**2 - SLACK)
-                near = _away(close[rows, cols]) <= ru[rows + s] + rv[cols + t] + reach + SLACK
-                if same and i == j:
-                    near &= rows + s <= cols + t
-                found.append((rows[near] + s, cols[near] + t))
+        first_a, first_b = p.child[depth][a], q.child[depth][b]
+        width_a, width_b = p.child[depth][a + 1] - first_a, q.child[depth][b + 1] - first_b
+        wide = width_a * width_b > WIDE
+        for k in np.flatnonzero(wide).tolist():  # the upper levels: few nodes, products of matrices
+            first, end = first_b[k], first_b[k] + width_b[k]
+            mirrored = same and a[k] == b[k]
+            for s in range(first_a[k], first_a[k] + width_a[k], STRIP):
+                e = min(s + STRIP, first_a[k] + width_a[k])
+                t = max(first, s) if mirrored else first
+                bound = np.minimum(ru[s:e, None] + rv[None, t:end] + np.float32(reach), 2)
+                bound *= bound
+                bound *= -0.5
+                bound += np.float32(1 - SLACK)
+                rows, cols = np.nonzero(u[s:e] @ v[t:end].T >= bound)
+                rows, cols = rows + s, cols + t
+                if mirrored:
+                    rows, cols = rows[rows <= cols], cols[rows <= cols]
+                found.append((rows, cols))
+        # the lower ones: many pairs of nodes with a few children each
+        a, b, first_a, first_b, width_a, width_b = (x[~wide] for x in (a, b, first_a, first_b, width_a, width_b))
+        many = width_a * width_b
+        for low, high in _portions(many):
+            pair = np.repeat(np.arange(low, high), many[low:high])
+            within = np.arange(len(pair)) - np.repeat(np.cumsum(many[low:high]) - many[low:high], many[low:high])
+            rows, cols = first_a[pair] + within // width_b[pair], first_b[pair] + within % width_b[pair]
+            if same:
+                up = (a[pair] != b[pair]) | (rows <= cols)
+                rows, cols = rows[up], cols[up]
+            near = _away(np.einsum("ij,ij->i", u[rows], v[cols])) <= ru[rows] + rv[cols] + reach + SLACK
+            found.append((rows[near], cols[near]))
         if found:
             a, b = (np.concatenate(k) for k in zip(*found))
-            todo.extend((depth + 1, a[k : k + 100_000], b[k : k + 100_000]) for k in range(0, len(a), 100_000))
+            todo.extend((depth + 1, a[k : k + PORTION], b[k : k + PORTION]) for k in range(0, len(a), PORTION))
+
+
+def _portions(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``PORTION`` in all, so that what is unrolled at once stays bounded."""
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PORTION, side="right")))
+        yield low, high
+        low = high
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
