@@ -7,13 +7,14 @@ size; one block is in a worker's memory at a time. Nothing is shuffled.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,10 +162,15 @@ def scan(texts: list[bytes], load: list[Callable[[], Block]]) -> list[tuple[int,
 
 
 def _loaders(shared: list[Broadcast]) -> list[Callable[[], Block]]:
+    only: list[Block] = []
+
     def load(one: Broadcast) -> Block:
-        block = one.value
-        if len(shared) > 1:  # the next block takes its place in this worker's memory
-            one.__dict__.pop("_value", None)
+        if only:
+            return only[0]
+        block = pickle.loads(one.value)
+        one.__dict__.pop("_value", None)  # the bytes are read again from the executor's disk if need be
+        if len(shared) == 1:
+            only.append(block)
         return block
 
     return [lambda one=one: load(one) for one in shared]
@@ -186,7 +192,8 @@ def _scanned(batches: Iterator[pa.RecordBatch], text_at: int, shared: list[Broad
 
 
 def _shared(docs: DataFrame, benchmark: DataFrame) -> list[Broadcast]:
-    return [docs.sparkSession.sparkContext.broadcast(b) for b in blocks(benchmark)]
+    """Each block as bytes with its class, so that workers need not have the package on their path."""
+    return [docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(b)) for b in blocks(benchmark)]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
