@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from mensario.llm import secrets
 from mensario.llm.common import table
 from mensario.llm.queries import op2_secrets
@@ -66,3 +68,38 @@ def test_odd_rows(spark, odd, docs):
     found = secrets.scan(odd, formats).collect()
     assert len(found) == len(ODD) and all(r.spans == [] for r in found)
     assert secrets.scan(docs([]), secrets.learn(docs([]))).collect() == []
+
+
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.mark.parametrize("n_plain", [150, 3000])
+@pytest.mark.parametrize("n_bare", [3, 300])
+def test_unlabelled_credentials_are_found_in_small_and_large_tables(docs, rng, n_plain, n_bare):
+    def credential():
+        return "ghp_" + "".join(rng.choice(ALNUM) for _ in range(32))
+
+    def words(n):
+        return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    rows = [(i, words(60) + f" page {i % 90}") for i in range(n_plain)]
+    rows += [(10_000 + i, f"{words(20)} token = {credential()} {words(5)}") for i in range(60)]
+    bare = {20_000 + i: credential() for i in range(n_bare)}
+    rows += [(k, f"{words(20)} {v} {words(20)}") for k, v in bare.items()]
+    rows += [(30_000, "see 2024/05/12/the-house-of-a-friend.html and mail8.example.com/index2.html")]
+    table = docs(rows)
+    texts = dict(r[:2] for r in rows)
+    found = {(r.doc_id, texts[r.doc_id][s.start : s.end]) for r in secrets.scan(table, secrets.learn(table)).collect() for s in r.spans if s.kind == "grammar"}
+    assert found <= set(bare.items())
+    assert len(found) >= 0.95 * n_bare
+
+
+def test_candidates_are_as_short_as_labelled_credentials(rng):
+    def credential(n):
+        return "".join(rng.choice(ALNUM) for _ in range(n))
+
+    words = ["_".join(rng.choice(["the", "run", "of", "a", "house", "file2", "name"]) for _ in range(8)) for _ in range(300)]
+    formats = secrets.fit({"assign": [credential(12) for _ in range(300)]}, words)
+    assert formats.shortest == 12
+    fresh = "k7Rq2Xz9PbL4"
+    assert secrets.find(f"see {fresh} and file2_house of", formats) == [(4, 16, "grammar")]
