@@ -65,3 +65,9 @@ def test_long_paths_and_stars_are_one_component(spark):
     path = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     found = dict(map(tuple, components(spark.createDataFrame(path, "a long, b long")).collect()))
     assert found == {**dict.fromkeys(range(51), 0), **dict.fromkeys(range(100, 160), 100)}
+
+
+def test_a_shared_doc_id_loses_no_text(docs):
+    one, two = ("the mill by the river turns all day and night", "quite different matters were said about ships at sea")
+    kept = simhash.deduplicate(docs([(1, one), (1, two), (1, one), (2, two), (3, one)]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, one), (1, two)])
