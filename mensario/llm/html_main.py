@@ -2,7 +2,7 @@
 
 A page becomes lines, one per block. What the markup names as menu, header, footer,
 advert, form, comment and so on goes; lines inside an article container are the main
-text. Where a page has no such container, its lines are aligned with those of the pages next to it by
+text. The lines outside any such container are aligned with those of the pages next to it by
 URL path on the same host (longest common subsequence), and shared lines go.
 
 Pages are cut into slices of the order by (host, path); each slice also sees the last
@@ -28,7 +28,7 @@ from mensario.llm.common import cut, slices
 BLOCKS = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template iframe object svg math canvas audio video textarea title head select".split())
-BOILER = frozenset("nav footer aside form dialog menu button".split())
+BOILER = frozenset("nav footer aside dialog menu button".split())
 MAIN = frozenset("article main".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 BOILER_NAMES = frozenset(
@@ -36,6 +36,10 @@ BOILER_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended trending comment comments commentlist disqus respond reply replies "
     "search pagination pager toolbar masthead copyright skip form".split()
 )
+#: Parts of names by which a wrapper tells what it has beside the main text; an article container inside counts.
+LAYOUT_NAMES = frozenset("nav navbar sidebar footer header toolbar ad ads banner cookie cookies modal overlay search form".split())
+#: Names of the form around a whole page.
+PAGE_FORMS = frozenset("aspnetform form1".split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
 MAIN_NAMES = frozenset("article-body article-content post-body post-content entry-content main-content page-content story-body content-body articlebody postcontent".split())
 #: Start tags that end an open element of the second set.
@@ -44,14 +48,14 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<!--.*?-->|<!--.*\Z|<[!?][^>]*>""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
-OUT, OPEN, BODY = 0, 1, 2
+OUT, OPEN, BODY, WRAP = 0, 1, 2, 3  # WRAP: out, but for article containers inside
 
 
 def role(tag: str, attributes: str, outer: int) -> int:
     """Role of an element within one of role ``outer``."""
     if outer == OUT or tag in BOILER or (tag == "header" and outer != BODY):
         return OUT
-    inside = BODY if tag in MAIN else outer
+    inside = BODY if tag in MAIN else WRAP if tag == "form" else outer
     if not attributes.strip():
         return inside
     found = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attributes)}
@@ -63,8 +67,12 @@ def role(tag: str, attributes: str, outer: int) -> int:
     if tag in ("html", "body"):
         return inside
     words = {w.lower() for n in names if not re.match(r"(?:has|no|with|is)[-_]", n) for w in _NAME.split(n)}
-    if lowered & BOILER_NAMES or (tag not in MAIN and words & BOILER_NAMES):
+    if tag == "form" and (lowered | {found.get("name", "").lower()}) & PAGE_FORMS:
+        return outer
+    if lowered & BOILER_NAMES:
         return OUT
+    if tag not in MAIN and words & BOILER_NAMES:
+        return WRAP if words & BOILER_NAMES <= LAYOUT_NAMES else OUT
     if inside != BODY and tag not in MAIN and words & HEADER_NAMES:
         return OUT
     return BODY if kind in ("main", "article") or lowered & MAIN_NAMES else inside
@@ -81,7 +89,7 @@ def lines(page: str | None) -> list[tuple[str, int]]:
     def end_block() -> None:
         nonlocal linked, letters
         text = " ".join("".join(pieces).split())
-        if text and stack[-1][1] != OUT:
+        if text and stack[-1][1] in (OPEN, BODY):
             # a block outside an article that is mostly links is a menu
             if stack[-1][1] == BODY or 2 * linked <= letters:
                 result.append((text, stack[-1][1]))
@@ -90,7 +98,7 @@ def lines(page: str | None) -> list[tuple[str, int]]:
 
     def add(raw: str) -> None:
         nonlocal linked, letters
-        if not raw or stack[-1][1] == OUT:
+        if not raw or stack[-1][1] not in (OPEN, BODY):
             return
         text = html.unescape(raw) if "&" in raw else raw
         pieces.append(text)
@@ -178,12 +186,13 @@ def common(a: list[int], b: list[int]) -> set[int]:
 
 
 def undecided(own: list[int], before: list[int] | None, after: list[int] | None) -> list[bool]:
-    """Which lines of a page stay. A neighbour with the very same lines is a copy and tells nothing."""
+    """Which open lines of a page stay. The first mark is that of the whole page: a neighbour with the very same lines
+    is a copy and tells nothing."""
     shared: set[int] = set()
     for other in (before, after):
-        if other and other != own:
-            shared |= common(own, other)
-    return [i not in shared for i in range(len(own))]
+        if other and other[0] != own[0]:
+            shared |= common(own[1:], other[1:])
+    return [i not in shared for i in range(len(own) - 1)]
 
 
 def _key() -> F.Column:
@@ -216,30 +225,31 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"slice": [], "body": [], "open": [], "marks": []}
+            out = {"slice": [], "body": [], "open": [], "fixed": [], "marks": []}
             for key, page in zip(batch.column(2).to_pylist(), batch.column(3)):
                 found = lines(page.as_py())
-                body = [t for t, r in found if r == BODY]
                 rest = [t for t, r in found if r == OPEN]
                 host = key.split("\x01")[0]
                 out["slice"].append(bisect_right(bounds, key))
-                out["body"].append("\n".join(body) if body else None)
-                out["open"].append(None if body else rest)
-                out["marks"].append([xxhash.xxh64_intdigest(host + "\0" + t) - (1 << 63) for t in rest])
-            arrays = [pa.array(out["slice"], pa.int32()), pa.array(out["body"], pa.string()), pa.array(out["open"], pa.list_(pa.string())), pa.array(out["marks"], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names=["page_id", "url", "key", "slice", "body", "open", "marks"])
+                out["body"].append(None if rest else "\n".join(t for t, _ in found))
+                out["open"].append([t for t, _ in found] if rest else None)
+                out["fixed"].append([r == BODY for _, r in found] if rest else None)
+                whole = xxhash.xxh64_intdigest("\n".join(t for t, _ in found))
+                out["marks"].append([m - (1 << 63) for m in (whole, *(xxhash.xxh64_intdigest(host + "\0" + t) for t in rest))])
+            arrays = [pa.array(out["slice"], pa.int32()), pa.array(out["body"], pa.string()), pa.array(out["open"], pa.list_(pa.string())), pa.array(out["fixed"], pa.list_(pa.bool_())), pa.array(out["marks"], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names=["page_id", "url", "key", "slice", "body", "open", "fixed", "marks"])
 
-    schema = f"page_id {kind}, url string, key string, slice int, body string, open array<string>, marks array<long>"
+    schema = f"page_id {kind}, url string, key string, slice int, body string, open array<string>, fixed array<boolean>, marks array<long>"
     parsed = cut(pages.select("page_id", "url", _key().alias("key"), "html").mapInArrow(run, schema))
     settled = parsed.where("body IS NOT NULL").select("page_id", "url", F.col("body").alias("text"))
-    # one slim row a page; only pages still to be decided carry their lines
-    row = parsed.select("slice", "key", "page_id", "url", "open", "marks").withColumn("ghost", F.lit(False))
+    # one slim row a page; only pages with lines still to be decided carry them
+    row = parsed.select("slice", "key", "page_id", "url", "open", "fixed", "marks").withColumn("ghost", F.lit(False))
     edge = F.struct("key", "marks")
     ends = parsed.groupBy("slice").agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
     by_slice = Window.orderBy("slice")  # one row a slice
     borders = ends.select("slice", F.lag("last").over(by_slice).alias("prev"), F.lead("first").over(by_slice).alias("next"))
     ghosts = borders.select("slice", F.explode(F.array("prev", "next")).alias("e")).where("e IS NOT NULL")
-    ghosts = ghosts.select("slice", "e.key", F.lit(None).cast(kind).alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("array<string>").alias("open"), "e.marks", F.lit(True).alias("ghost"))
+    ghosts = ghosts.select("slice", "e.key", F.lit(None).cast(kind).alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("array<string>").alias("open"), F.lit(None).cast("array<boolean>").alias("fixed"), "e.marks", F.lit(True).alias("ghost"))
     order = Window.partitionBy("slice").orderBy("key", "marks")
     host = F.substring_index("key", "\x01", 1)
     near = lambda f: F.when(f(host).over(order) == host, f("marks").over(order))
@@ -248,9 +258,10 @@ def extract(pages: DataFrame) -> DataFrame:
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for rest, own, prev, following in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
-                texts.append("\n".join(t for t, stay in zip(rest, undecided(own, prev, following)) if stay))
+            for found, fixed, own, prev, following in zip(*(batch.column(k).to_pylist() for k in range(2, 7))):
+                stay = iter(undecided(own, prev, following))
+                texts.append("\n".join(t for t, sure in zip(found, fixed) if sure or next(stay)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    rest = paired.select("page_id", "url", "open", "marks", "prev", "next").mapInArrow(differ, f"page_id {kind}, url string, text string")
+    rest = paired.select("page_id", "url", "open", "fixed", "marks", "prev", "next").mapInArrow(differ, f"page_id {kind}, url string, text string")
     return settled.unionByName(rest)

@@ -64,3 +64,21 @@ def test_query_gives_the_article_of_every_page(spark):
         assert row.text == "\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
     assert not pages
     assert OPEN != BODY
+
+
+def test_lines_outside_a_container_go_only_if_shared(spark):
+    shell = "<html><body><div>Start of the site</div><div>Lead {i}</div><article><p>Story {i}</p></article><div>All of it, free</div></body></html>"
+    card = "<html><body><div>Start of the site</div><p>Main text {i}</p><p>More {i}</p><article class=card>Teaser {i}</article><div>All of it, free</div></body></html>"
+    rows = [(i, f"http://h.example/p/{i:03d}", (card if i % 5 == 0 else shell).format(i=i)) for i in range(300)]
+    rows += [(1000, "http://one.example/a", shell.format(i="alone"))]
+    found = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found.pop(1000) == "Start of the site\nLead alone\nStory alone\nAll of it, free"
+    assert found == {i: f"Main text {i}\nMore {i}\nTeaser {i}" if i % 5 == 0 else f"Lead {i}\nStory {i}" for i in range(300)}
+
+
+def test_containers_inside_wrappers():
+    said = lambda page: [t for t, _ in lines(page)]
+    assert said("<form action=x><div>Menu</div><article><p>Text</p></article></form>") == ["Text"]
+    assert said("<div class='layout sidebar-right'><main><p>Text</p></main><div class=sidebar><article>No</article></div></div>") == ["Text"]
+    assert said("<form id=aspnetForm><div><p>Text</p></div><nav>Menu</nav></form>") == ["Text"]
+    assert said("<div class='related-posts'><article>No</article></div><nav><article>No</article></nav><form>Name</form>") == []
