@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mensario.llm import cover, decontam, fuzzy_lines, html_main, langid, mixing, secrets, shards, simhash, toxicity
+from mensario.llm import alignment, cover, decontam, fuzzy_lines, html_main, langid, mixing, pieces, secrets, shards, simhash, toxicity, vector_codes
 from mensario.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,7 +72,42 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_secrets, op3_html, op4_lines, op5_decontamination, op6_language, op7_toxicity, op8_embeddings, op9_mixing, op10_shards)}
+def vocabulary_file(name: str) -> str:
+    """Where the installed package of public vocabularies keeps one."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+BYTES_50K, PIECES_32K = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), vocabulary_file(BYTES_50K), vocabulary_file(PIECES_32K), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary_file(PIECES_32K)
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.sha2("codebooks", 256).alias("codebooks_sha256"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_secrets, op3_html, op4_lines, op5_decontamination, op6_language, op7_toxicity, op8_embeddings, op9_mixing, op10_shards,
+        op11_alignment, op12_pieces, op13_vector_codes,
+    )
+}
 
 # The same results as DuckDB SQL, for the operators SQL can express.
 
@@ -120,4 +155,22 @@ SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken
        CASE WHEN copies > 0 THEN greatest(0.0::DOUBLE, CASE WHEN tilt = 0 THEN x ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * x) - (1 - tilt)) / (2 * tilt) END) END AS position
 FROM p, unnest(range(n)) AS g(i)"""
 
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op8_embeddings": _OP8, "op9_mixing": _OP9}
+# One step of assignment: the nearest entry of each part, as distance times 64 plus entry. Integers this small are exact in doubles.
+_OP13_NEAREST = """
+n{k} AS (SELECT p.rid, p.pos, min(CAST(list_inner_product(p.part, p.part) - 2 * list_inner_product(p.part, b.part) + list_inner_product(b.part, b.part) AS BIGINT) * 64 + b.e) AS best
+         FROM p JOIN b{k} b USING (pos) GROUP BY p.rid, p.pos)"""
+_OP13_MOVE = """
+m{k} AS (SELECT pos, e, list(mean ORDER BY j) AS part FROM
+          (SELECT p.pos, n.best % 64 AS e, j, floor(sum(p.part[j]) / count(*)) AS mean FROM n{k} n JOIN p USING (rid, pos), range(1, 5) AS r(j) GROUP BY p.pos, n.best % 64, j) GROUP BY pos, e),
+b{l} AS (SELECT pos, e, coalesce(m.part, b.part) AS part FROM b{k} b LEFT JOIN m{k} m USING (pos, e))"""
+_OP13 = f"""
+WITH k AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, pos, w[pos * 4 + 1 : pos * 4 + 4] AS part FROM k, range(16) AS r(pos)),
+first AS (SELECT rid, row_number() OVER (ORDER BY vec_id, w) - 1 AS e FROM k QUALIFY e < 64),
+b0 AS (SELECT pos, e, part FROM p JOIN first USING (rid)),{_OP13_NEAREST.format(k=0)},{_OP13_MOVE.format(k=0, l=1)},{_OP13_NEAREST.format(k=1)},{_OP13_MOVE.format(k=1, l=2)},{_OP13_NEAREST.format(k=2)},
+v AS (SELECT rid, string_agg(printf('%02x', best % 64), '' ORDER BY pos) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM n2 GROUP BY rid),
+books AS (SELECT sha256(string_agg(CAST(CAST(b2.part[j] AS BIGINT) AS VARCHAR), ',' ORDER BY pos, e, j)) AS h FROM b2, range(1, 5) AS r(j))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM v JOIN k USING (rid), books"""
+
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": _OP5, "op8_embeddings": _OP8, "op9_mixing": _OP9, "op13_vector_codes": _OP13}
