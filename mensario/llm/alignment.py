@@ -24,7 +24,7 @@ from mensario.llm.common import cut
 from mensario.llm.pieces import SPACE, Vocabulary, by_size, ragged, vocabulary
 
 #: Characters of text aligned at once; distinct stretches and links a task keeps.
-BATCH_SYMBOLS, KEPT_STRETCHES, KEPT_LINKS = 1 << 21, 1 << 18, 1 << 22
+BATCH_SYMBOLS, KEPT_STRETCHES, KEPT_LINKS = 1 << 18, 1 << 17, 1 << 21
 #: Irregular pairs with more than one in so many of all rows are at most so many, and their counts are broadcast.
 HOT_PAIRS = 100_000
 
@@ -81,8 +81,8 @@ def pair(path_a: str, path_b: str) -> Pair:
     a, len_a = _joined(tokens_a)
     b, len_b = _joined(tokens_b)
     # white space that any pattern takes for white space and that no piece holds behind another character
-    spaces = "".join(c for c in " \n\t" if second.never_follows(SPACE if c == " " else c)) if second.words_apart else ""
-    return Pair(first, second, a, len_a, b, len_b, identity, spaces if " " in spaces else "")
+    spaces = " " + "".join(c for c in "\n\t" if second.never_follows(c)) if second.words_apart else ""
+    return Pair(first, second, a, len_a, b, len_b, identity, spaces)
 
 
 class _Store:
