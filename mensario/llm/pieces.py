@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 
 #: A space inside pieces, as the format fixes it.
 SPACE = "▁"
-#: Symbols of texts encoded at once, and how many distinct words a task keeps; longer words are not kept.
-BATCH_SYMBOLS, KEPT_WORDS, KEPT_LENGTH = 1 << 21, 1 << 18, 48
+#: Characters of texts encoded, and ids decoded, at once: some twenty arrays are as long. Distinct words a task keeps; longer ones are not kept.
+BATCH_SYMBOLS, KEPT_WORDS, KEPT_LENGTH = 1 << 18, 1 << 17, 48
 _NO_RANK = np.iinfo(np.int32).max
 _GONE = "\ufffd"
 
@@ -233,6 +233,9 @@ class Vocabulary:
             mine = ids[ends[k] - counts[k] : ends[k]]
             opening = np.flatnonzero(n_bytes[ends[k] - counts[k] : ends[k]])[:1]
             a += int(len(opening) and self._opens[mine[opening[0]]])
+            if (n_bytes[ends[k] - counts[k] : max(0, ends[k] - 1)] == 0).any():  # a control id inside ends a run of bytes
+                out.append(self._mended(mine, raw[a:b]))
+                continue
             try:
                 out.append(raw[a:b].decode())
             except UnicodeDecodeError:
@@ -273,20 +276,23 @@ class Encoder:
     """Ids of texts, words met before taken from a bounded store."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary = vocabulary
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.vocabulary.split(t) for t in texts]
-        fresh = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
+        known = self.known
+        fresh = list({w for words in split for w in words if w not in known})
         ids, counts = self.vocabulary.encode_words(fresh)
-        found = dict(zip(fresh, np.split(ids, np.cumsum(counts)[:-1])))
-        none = np.zeros(0, np.int32)
-        out = [np.concatenate([found[w] if w in found else self.known[w] for w in words]) if words else none for words in split]
-        if len(self.known) + len(found) > KEPT_WORDS:
-            self.known = {}
-        for word, mine in found.items():
-            if len(word) <= KEPT_LENGTH and len(self.known) < KEPT_WORDS:
-                self.known[word] = mine.copy()
+        raw, ends = ids.astype(np.int32).tobytes(), np.cumsum(counts * 4).tolist()
+        known.update(zip(fresh, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in split]
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        else:
+            for word in fresh:
+                if len(word) > KEPT_LENGTH:
+                    del known[word]
         return out
 
 
@@ -327,6 +333,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def _by_ids(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about BATCH_SYMBOLS ids."""
+    counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column(1)), 0)).astype(np.int64)
+    slices = (np.cumsum(counts) - counts) // BATCH_SYMBOLS
+    for start in np.unique(slices, return_index=True)[1].tolist():
+        yield batch.slice(start, int((slices == slices[start]).sum()))
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of every row of ``encoded`` (doc_id, ids): control ids give nothing, the space in front goes.
 
@@ -335,12 +349,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     model, kind = vocabulary(path), encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0)).astype(np.int64)
-            ids = np.asarray(lists.flatten()).astype(np.int64)
-            if len(ids) and not (ids.min() >= 0 and ids.max() < model.size):
-                raise ValueError("an id outside the vocabulary")
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(model.decode(ids, counts), pa.string())], names=["doc_id", "ids", "text"])
+        for whole in batches:
+            for batch in _by_ids(whole):
+                lists = batch.column(1)
+                counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0)).astype(np.int64)
+                ids = np.asarray(lists.flatten())
+                if len(ids) and not (ids.min() >= 0 and ids.max() < model.size):
+                    raise ValueError("an id outside the vocabulary")
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(model.decode(ids, counts), pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
