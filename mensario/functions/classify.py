@@ -38,17 +38,27 @@ def percent_paid() -> Column:
     return F.when(amount == fv.VALOR_TOTAL, 100).when(amount == fv.VALOR_PARCIAL, share).otherwise(0)
 
 
-def days_late(period: Period) -> Column:
-    """Unpaid invoices count up to the reference date and are negative before they fall due."""
+def days_of_payment() -> Column:
+    """What the dates of invoice and payment tell alone; NULL for unpaid invoices."""
     timing = F.col("fbc_classif_pagto")
     return (
-        F.when(timing == fv.SEM_PAGAMENTO, F.datediff(period.day, "dt_vencimento"))
+        F.when(timing == fv.SEM_PAGAMENTO, None)
         .when(timing == fv.EM_ATRASO, F.datediff("dt_pagamento", "dt_vencimento"))
         .when(timing == fv.NO_PRAZO, 0)
         .otherwise(fv.DIAS_ANTECIPADO)
     )
 
 
+def days_unpaid(period: Period) -> Column:
+    """Up to the reference date; negative before the invoice falls due."""
+    return F.datediff(period.day, "dt_vencimento")
+
+
+def days_late(period: Period) -> Column:
+    unpaid = F.col("fbc_classif_pagto") == fv.SEM_PAGAMENTO
+    return F.when(unpaid, days_unpaid(period)).otherwise(days_of_payment())
+
+
 def window_flag_name(months: int) -> str:
     return f"flg_u{months}m"
 

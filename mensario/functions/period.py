@@ -31,6 +31,12 @@ class Period:
     def first_ref(self) -> Column:
         return F.date_format(F.add_months(self.day, -self.months), "yyyyMM")
 
+    @property
+    def months_covered(self) -> list[str]:
+        """The months inside, first to last, as ``ref`` has them."""
+        last = self.ref_date.year * 12 + self.ref_date.month - 1
+        return [f"{n // 12:04d}{n % 12 + 1:02d}" for n in range(last - self.months, last + 1)]
+
     def covers(self, ref: str = "ref") -> Column:
         """Constant bounds once folded, so the condition prunes ``ref`` partitions."""
         return F.col(ref).between(self.first_ref, self.ref)

@@ -66,6 +66,16 @@ def combine_rows(flagged: DataFrame, grid: FeatureGrid = BOOK_GRID) -> DataFrame
     )
 
 
+def combine_states(flagged: DataFrame, grid: FeatureGrid = BOOK_GRID) -> DataFrame:
+    """The rows ``combine_rows`` gives, from states of several rows each: its columns of states, labels and window flags."""
+    codes = {f"code_{c}": _label_code(grid, c) for c in grid.label_columns}
+    return (
+        flagged.withColumns({**codes, "mask": _window_mask(grid)})
+        .groupBy(*KEYS, *codes, "mask")
+        .agg(*[_MERGE[state](f"{state}_{value}").alias(f"{state}_{value}") for value, state in _states(grid)])
+    )
+
+
 def _average(value: str, dtype: T.DataType) -> Column:
     """Average from its sum and count, in the type and rounding ``avg`` gives for ``dtype``."""
     total, n = F.col(f"sum_{value}"), F.col(f"count_{value}")
@@ -139,6 +149,11 @@ def build_features(flagged: DataFrame, grid: FeatureGrid = BOOK_GRID) -> DataFra
     return spread_cells(merge_cells(combine_rows(flagged, grid), types, grid), grid)
 
 
+def features_of_states(flagged: DataFrame, types: dict[str, T.DataType], grid: FeatureGrid = BOOK_GRID) -> DataFrame:
+    """As ``build_features``, from states instead of rows; ``types`` are those of the values."""
+    return spread_cells(merge_cells(combine_states(flagged, grid), types, grid), grid)
+
+
 def book_of(book: DataFrame, id_cliente: int) -> DataFrame:
     """One customer's row; on a stored book the condition reaches the Parquet scan."""
     return book.where(F.col("id_cliente") == id_cliente)

@@ -84,5 +84,33 @@ STAGE = _struct(
     fvl_qtd_transacao=T.IntegerType(),
 )
 
+# Rows of one customer, class pair, day of issue and month of payment, as sums, counts and bounds of their values.
+# ``ref`` is the month of issue. Without ``ref_pagto`` it is a state of invoices as if unpaid, which holds where none
+# of ``meses_pagos`` is in the period. Days of unpaid ones follow from ``dt_vencimento``, which other states do not have.
+STATE = _struct(
+    id_cliente=T.LongType(),
+    ref=T.StringType(),
+    dt_proc=T.StringType(),
+    ref_pagto=T.StringType(),
+    meses_pagos=T.ArrayType(T.StringType()),
+    fbc_classif_pagto=T.StringType(),
+    fbc_classif_vlr_pagto=T.StringType(),
+    dt_emissao=T.DateType(),
+    dt_vencimento=T.DateType(),
+    sum_fvl_qtd_transacao=T.LongType(),
+    sum_fvl_vlr_fatura=T.DecimalType(24, 2),
+    count_fvl_vlr_fatura=T.LongType(),
+    min_fvl_vlr_fatura=MONEY,
+    max_fvl_vlr_fatura=MONEY,
+    sum_fvl_perc_vlr_fatura=T.DecimalType(29, 0),
+    count_fvl_perc_vlr_fatura=T.LongType(),
+    min_fvl_perc_vlr_fatura=T.DecimalType(19, 0),
+    max_fvl_perc_vlr_fatura=T.DecimalType(19, 0),
+    sum_fvl_numero_dias_atraso=T.LongType(),
+    count_fvl_numero_dias_atraso=T.LongType(),
+    min_fvl_numero_dias_atraso=T.IntegerType(),
+    max_fvl_numero_dias_atraso=T.IntegerType(),
+)
+
 RAW = {fv.SUBJECT_FATURAS: RAW_FATURA, fv.SUBJECT_PAGAMENTOS: RAW_PAGAMENTO}
 TRUSTED = {fv.SUBJECT_FATURAS: TRUSTED_FATURA, fv.SUBJECT_PAGAMENTOS: TRUSTED_PAGAMENTO}

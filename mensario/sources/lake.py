@@ -28,9 +28,6 @@ class Lake:
     def raw_control(self, subject: str) -> str:
         return f"{self.root}/0001_raw/{subject}/controle"
 
-    def landing_checkpoint(self, subject: str) -> str:
-        return f"{self.root}/0000_control/landing_checkpoint/{subject}"
-
     @property
     def processed_files(self) -> str:
         return f"{self.root}/0000_control/arquivos_processados"
@@ -48,3 +45,7 @@ class Lake:
     @property
     def book(self) -> str:
         return f"{self.root}/0003_refined/book_fatura"
+
+    @property
+    def states(self) -> str:
+        return f"{self.root}/0003_refined/estados_fatura"

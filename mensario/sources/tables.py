@@ -1,19 +1,23 @@
 """Scans and sinks.
 
 Every scan declares its schema, so ``ref`` and ``dt_proc`` stay text although they
-are partition folders, and no read infers anything from the data.
+are partition folders, and no read infers anything from the data. A scan of a table that runs
+write holds the runs that count when it is made, see ``runs``.
 """
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mensario import fixed_values as fv
 from mensario.operators.features import BOOK_GRID
 from mensario.schemas import STAGE, TRUSTED
+from mensario.sources import runs
 
 APPEND = "append"
 REPLACE_MONTHS = "replace_months"
@@ -33,8 +37,14 @@ def scan_parquet_or_empty(spark: SparkSession, schema: T.StructType, path: str)
         return spark.createDataFrame([], schema)
 
 
+def scan_runs(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The rows of the table's runs that count; a table of which no run has finished has none."""
+    stored = T.StructType([*schema.fields, T.StructField(runs.TRY, T.StringType())])
+    return scan_parquet(spark, stored, path).where(runs.counting(spark, path)).select(*schema.fieldNames())
+
+
 def scan_trusted(spark: SparkSession, subject: str, path: str) -> DataFrame:
-    return scan_parquet(spark, TRUSTED[subject], path)
+    return scan_runs(spark, TRUSTED[subject], path)
 
 
 def scan_faturas(spark: SparkSession, path: str) -> DataFrame:
@@ -45,8 +55,10 @@ def scan_pagamentos(spark: SparkSession, path: str) -> DataFrame:
     return scan_trusted(spark, fv.SUBJECT_PAGAMENTOS, path)
 
 
-def scan_stage(spark: SparkSession, path: str) -> DataFrame:
-    return scan_parquet(spark, STAGE, path)
+def scan_stage(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
+    if missing_ok and not runs.records(spark, path):
+        return spark.createDataFrame([], STAGE)
+    return scan_runs(spark, STAGE, path)
 
 
 def book_schema() -> T.StructType:
@@ -70,7 +82,7 @@ def book_schema() -> T.StructType:
 
 
 def scan_book(spark: SparkSession, path: str) -> DataFrame:
-    return scan_parquet(spark, book_schema(), path)
+    return scan_runs(spark, book_schema(), path)
 
 
 def balance_by(df: DataFrame, *columns: str) -> DataFrame:
@@ -82,45 +94,41 @@ def balance_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
-    location = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(location)
-    return sorted(str(status.getPath().toString()) for status in found or [])
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+def _write_run(
+    df: DataFrame, path: str, dt_proc: str, mode: str, months: list[str] | None = None, sources: dict[str, str | None] | None = None, **options: str
+) -> int:
+    """Parquet by month, run and try, then the run's record; returns how many rows. They count from the record on, instead of
+    those of an earlier try under the same stamp, and with ``replace_months`` instead of all other runs of the months.
 
+    What earlier runs have hidden is removed first. The rows are counted by the job that writes them.
+    """
+    spark, attempt, written = df.sparkSession, uuid4().hex, Observation()
+    if any(run["baldes"] for run in runs.records(spark, path)):
+        raise ValueError(f"{path} is bucketed")
+    runs.remove_hidden(spark, path, dt_proc)
+    rows = df.observe(written, F.count(F.lit(1)).alias("rows")).withColumn(runs.TRY, F.lit(attempt))
+    rows.write.partitionBy("ref", "dt_proc", runs.TRY).mode("append").options(**options).parquet(path)
+    runs.record(spark, path, dt_proc, attempt, mode == REPLACE_MONTHS, months=months, sources=sources)
+    return written.get["rows"]
 
-def _write_run(df: DataFrame, path: str, dt_proc: str, mode: str, **options: str) -> None:
-    """Parquet by month and run. What an earlier try of the same run left goes first, so a run can be repeated.
 
-    ``replace_months`` then removes all other runs of the months this one wrote.
-    """
-    spark = df.sparkSession
-    for left in _folders(spark, f"{path}/ref=*/dt_proc={dt_proc}"):
-        _delete(spark, left)
-    df.write.partitionBy("ref", "dt_proc").mode("append").options(**options).parquet(path)
-    if mode == REPLACE_MONTHS:
-        for written in _folders(spark, f"{path}/ref=*/dt_proc={dt_proc}"):
-            for other in _folders(spark, f"{written.rpartition('/')[0]}/dt_proc=*"):
-                if other != written:
-                    _delete(spark, other)
-
-
-def write_trusted(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> None:
+def write_trusted(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> int:
     """Expects balanced rows, see ``balance_by``. ``append`` adds a run beside earlier ones."""
-    _write_run(df, path, dt_proc, mode)
+    return _write_run(df, path, dt_proc, mode)
 
 
-def write_stage(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> None:
+def write_stage(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> int:
     """A run has one ``ref``, so there is nothing to gather before writing."""
-    _write_run(df, path, dt_proc, mode)
+    return _write_run(df, path, dt_proc, mode)
 
 
-def write_book(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> None:
+def write_book(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> int:
     """A Bloom filter per row group, sized to what it holds, lets the lookup of one customer
     skip nearly all of a table that is spread by hash of the customer."""
     bloom = {"parquet.bloom.filter.enabled#id_cliente": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
-    _write_run(df, path, dt_proc, mode, **bloom)
+    return _write_run(df, path, dt_proc, mode, **bloom)
+
+
+def write_states(df: DataFrame, path: str, dt_proc: str, months: list[str], sources: dict[str, str | None]) -> int:
+    """States in place of all earlier ones of ``months``, with what each month was made from."""
+    return _write_run(df, path, dt_proc, REPLACE_MONTHS, months, sources)

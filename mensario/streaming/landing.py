@@ -3,26 +3,23 @@
 A file is known by its full path, modification time and length. A version not landed
 before comes with the next batch; under a path landed before it supersedes the earlier
 rows. A batch writes data first and control after it, to folders named after its
-number. A batch that failed is not in the control table, so the next one takes its
-number and replaces what it left.
+number, so folders are as many as batches, not files; every row carries its file's id. A batch that
+failed is not in the control table, so the next one takes its number and replaces what it left.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mensario.schemas import LANDED_FILE, PROCESSED_FILE, RAW
-from mensario.sources.files import list_files, read_by_header, to_files
+from mensario.sources.files import Delivery, list_files, read_by_header, to_files
 from mensario.sources.lake import Lake
 from mensario.sources.tables import scan_parquet_or_empty
 
 _VERSION = ["arquivo", "modificado", "tamanho"]
 LANDED_FILE_VERSION = T.StructType([LANDED_FILE[c] for c in _VERSION])
-#: Values come back from the raw zone as they were: blanks, quotes, backslashes, empty texts.
-_EXACT = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 class NothingToProcess(Exception):
@@ -43,25 +40,27 @@ def file_id(arquivo: str = "arquivo") -> F.Column:
 
 
 def _write_batch(rows: DataFrame, files: DataFrame, lake: Lake, subject: str, lote: str) -> None:
-    """``files`` has a row for each file of the batch, ``rows`` what they hold. The files are parsed once."""
-    rows = rows.withColumn("arquivo_id", file_id()).persist(StorageLevel.DISK_ONLY)
-    try:
-        data = rows.select(*RAW[subject].fieldNames(), "arquivo_id")
-        data.write.mode("overwrite").partitionBy("arquivo_id").options(**_EXACT).csv(f"{lake.raw_data(subject)}/lote={lote}")
-        counts = rows.groupBy("arquivo").agg(F.count(F.lit(1)).alias("n"))
-        control = files.join(counts, "arquivo", "left").select(
-            F.lit(subject).alias("tb_name"), *_VERSION, F.coalesce("n", F.lit(0)).cast("long").alias("qtd_registros")
-        )
-        control.write.mode("overwrite").parquet(f"{lake.raw_control(subject)}/lote={lote}")
-    finally:
-        rows.unpersist()
-
-
-def land_files(spark: SparkSession, lake: Lake, subject: str, source: str) -> None:
+    """``files`` has a row for each file of the batch, ``rows`` what they hold.
+
+    A task writes the rows of its source files one file after another, so files of rows are as many as
+    tasks and a source file's rows stand together. Control rows count them from their ids as written.
+    """
+    spark, path = rows.sparkSession, f"{lake.raw_data(subject)}/lote={lote}"
+    rows.select(*RAW[subject].fieldNames(), file_id().alias("arquivo_id")).write.mode("overwrite").parquet(path)
+    ids = spark.read.schema("arquivo_id string").parquet(path)
+    counts = ids.groupBy("arquivo_id").agg(F.count(F.lit(1)).alias("n"))
+    control = files.withColumn("arquivo_id", file_id()).join(counts, "arquivo_id", "left").select(
+        F.lit(subject).alias("tb_name"), *_VERSION, F.coalesce("n", F.lit(0)).cast("long").alias("qtd_registros")
+    )
+    control.coalesce(1).write.mode("overwrite").parquet(f"{lake.raw_control(subject)}/lote={lote}")
+
+
+def land_files(spark: SparkSession, lake: Lake, subject: str, source: str | Delivery) -> None:
     """Land what ``source`` holds in versions not landed before; a second run adds nothing."""
+    source = source if isinstance(source, Delivery) else Delivery(source)
     _prepare(spark, lake, subject)
     landed = landed_files(spark, lake, subject)
-    fresh = list_files(spark, source).join(landed.select(*_VERSION), _VERSION, "left_anti")
+    fresh = list_files(spark, source.folder, name=source.name).join(landed.select(*_VERSION), _VERSION, "left_anti")
     files = to_files(fresh)
     if not files:
         return
@@ -76,21 +75,28 @@ def landed_files(spark: SparkSession, lake: Lake, subject: str) -> DataFrame:
     return scan_parquet_or_empty(spark, LANDED_FILE, lake.raw_control(subject))
 
 
+def _by_age(spark: SparkSession, lake: Lake, subject: str) -> DataFrame:
+    """Landed files with ``_n``, 1 for the version of its path that landed last."""
+    newest = Window.partitionBy("arquivo").orderBy(F.col("lote").desc(), F.col("modificado").desc())
+    return landed_files(spark, lake, subject).withColumn("_n", F.row_number().over(newest))
+
+
 def current_files(spark: SparkSession, lake: Lake, subject: str) -> DataFrame:
     """Of each path the version landed last."""
-    newest = Window.partitionBy("arquivo").orderBy(F.col("lote").desc(), F.col("modificado").desc())
-    return landed_files(spark, lake, subject).withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    return _by_age(spark, lake, subject).where("_n = 1").drop("_n")
 
 
 def scan_raw(spark: SparkSession, lake: Lake, subject: str, lotes: list[str] | None = None) -> DataFrame:
-    """The landed rows, without those of superseded files; of all batches or of ``lotes`` alone."""
-    current = current_files(spark, lake, subject)
-    if lotes is not None:
-        current = current.where(F.col("lote").isin(lotes))
-    current = current.where("qtd_registros > 0").select("lote", file_id().alias("arquivo_id"))
-    schema = T.StructType([*RAW[subject].fields, T.StructField("lote", T.StringType()), T.StructField("arquivo_id", T.StringType())])
-    rows = spark.read.schema(schema).options(**_EXACT).csv(lake.raw_data(subject))
-    return rows.join(current, ["lote", "arquivo_id"], "left_semi").select(*RAW[subject].fieldNames())
+    """The landed rows, without those of superseded files; of all batches or of ``lotes`` alone.
+
+    Rows of a batch without control rows do not count. Superseded files are few, the others are not joined.
+    """
+    finished_lotes = pending_batches(landed_files(spark, lake, subject))
+    lotes = finished_lotes if lotes is None else [n for n in finished_lotes if n in set(lotes)]
+    superseded = _by_age(spark, lake, subject).where("_n > 1").select("lote", file_id().alias("arquivo_id"))
+    schema = T.StructType([*RAW[subject].fields, T.StructField("arquivo_id", T.StringType()), T.StructField("lote", T.StringType())])
+    rows = scan_parquet_or_empty(spark, schema, lake.raw_data(subject)).where(F.col("lote").isin(lotes))
+    return rows.join(superseded, ["lote", "arquivo_id"], "left_anti").select(*RAW[subject].fieldNames())
 
 
 def pending_files(spark: SparkSession, lake: Lake, subject: str, consumer: str | None = None) -> DataFrame:

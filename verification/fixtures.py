@@ -17,6 +17,7 @@ from mensario.schemas import MONEY
 
 # The tables' dates end in 2001; a first of month makes the windows whole months.
 PERIOD = Period(date(2001, 1, 1))
+MONTH_BEFORE = Period(date(2000, 12, 1))
 DT_PROC = "20010105080000"
 # The stamp of a second run.
 AGAIN = "20010106080000"
@@ -85,13 +86,21 @@ def raw_of(spark: SparkSession, sf_dir: str, subject: str) -> DataFrame:
     return maker(spark, sf_dir)
 
 
-def put_file(spark: SparkSession, folder: str, target: str) -> None:
-    """The one data file a write left in ``folder``, copied to ``target`` in its place."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    to = jvm.org.apache.hadoop.fs.Path(target)
-    fs = to.getFileSystem(conf)
-    part = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*"))[0].getPath()
-    jvm.org.apache.hadoop.fs.FileUtil.copy(part.getFileSystem(conf), part, fs, to, False, True, conf)
+def deliver(spark: SparkSession, rows: DataFrame, staging: str, folder: str, name: str, parts: int = 8) -> None:
+    """``rows`` as ``parts`` CSV files of always the same names, each in place of an earlier delivery's.
+
+    Every part is written by a task of its own, which part a row is in follows from its invoice, and the driver only renames.
+    """
+    rows.repartition(parts, "id_fatura").write.option("header", True).csv(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target = path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for earlier in fs.globStatus(path(f"{folder}/{name}-*.csv")) or []:
+        fs.delete(earlier.getPath(), False)
+    for part in fs.globStatus(path(f"{staging}/part-*")):
+        number = part.getPath().getName().split("-")[1]
+        fs.rename(part.getPath(), path(f"{folder}/{name}-{number}.csv"))
 
 
 def faturas(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,6 +218,10 @@ ORACLE_SQL: dict[str, str] = {
       SELECT {_LAST} AS ref, '{AGAIN}' AS dt_proc, COUNT(*) AS qtd, 'stage' AS tabela FROM s HAVING COUNT(*) > 0
       UNION ALL
       SELECT {_LAST}, '{AGAIN}', COUNT(DISTINCT id_cliente), 'book' FROM s HAVING COUNT(*) > 0"""),
+    "join_bucketed": _with(_STAGE, f"{_JOINED} FROM j"),
+    "repeated_bucketed": _key_counts("p0", "HAVING COUNT(*) > 1"),
+    "book_from_states": _book(),
+    "book_corrected": _book(),
     "control_row": _with(_TRUSTED, f"""
       SELECT '{fv.TRUSTED_FATURAS}' AS tb_name, '{DT_PROC}' AS dt_proc,
              CAST(COUNT(*) AS VARCHAR) AS qtd_registros FROM f
@@ -228,6 +232,9 @@ ORACLE_SQL: dict[str, str] = {
     "landing_redelivery": _with(_TRUSTED, f"""SELECT 'FAT-' || id_fatura AS id_fatura, CAST(id_cliente AS VARCHAR) AS id_cliente,
       strftime(dt_emissao, '%Y-%m-%d') AS data_emissao, strftime(dt_vencimento, '%Y-%m-%d') AS data_vencimento,
       {_text('((fat_cents + 5) // 10)')} AS valor_fatura, {_text(_MINIMUM)} AS valor_pagamento_minimo FROM f"""),
+    "landing_mixed": _with(_TRUSTED, f"""
+      SELECT '{fv.SUBJECT_FATURAS}' AS tb_name, COUNT(*) AS qtd, MAX('FAT-' || id_fatura) AS ultima FROM f
+      UNION ALL SELECT '{fv.SUBJECT_PAGAMENTOS}', COUNT(*), MAX('FAT-' || id_fatura) FROM p"""),
     "landing_control": _with(_TRUSTED, f"""
       SELECT '{fv.SUBJECT_FATURAS}' AS tb_name, COUNT(*) AS qtd_registros FROM f
       UNION ALL SELECT '{fv.SUBJECT_PAGAMENTOS}', COUNT(*) FROM p"""),

@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 from mensario import fixed_values as fv
 from mensario.operators import inspection, joins, stage, trusted
 from mensario.operators.book import book_of, build_features
-from mensario.plans import monthly
-from mensario.sources import control, files, tables
+from mensario.plans import incremental, monthly
+from mensario.sources import bucketed, control, files, tables
 from mensario.sources.lake import Lake
 from mensario.streaming import landing
 from verification import fixtures as fx
-from verification.fixtures import AGAIN, DT_PROC, PERIOD
+from verification.fixtures import AGAIN, DT_PROC, MONTH_BEFORE, PERIOD
 from verification.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +175,51 @@ def book_replaced(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+BUCKETS = 8
+
+
+def bucketed_sides(spark: SparkSession, d: str) -> tuple[list[DataFrame], str | None]:
+    """Both trusted tables of the period, stored in buckets, and the column of hot rows if there are any."""
+    lake = Lake(new_folder(spark))
+    for subject in monthly.SUBJECTS:
+        rows = trusted.TO_TRUSTED[subject](fx.raw_of(spark, d, subject), DT_PROC)
+        bucketed.write_trusted_bucketed(rows, subject, lake.trusted(subject), DT_PROC, BUCKETS)
+    sides = [inspection.in_period(bucketed.scan_trusted_bucketed(spark, s, lake.trusted(s)), PERIOD) for s in monthly.SUBJECTS]
+    return sides, bucketed.hot_column(spark, *(lake.trusted(s) for s in monthly.SUBJECTS))
+
+
+def join_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    sides, hot = bucketed_sides(spark, d)
+    return joins.join_stored(*sides, hot)
+
+
+def repeated_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    sides, hot = bucketed_sides(spark, d)
+    return inspection.repeats_stored(sides[1], hot)
+
+
+def book_from_states(spark: SparkSession, d: str) -> DataFrame:
+    """The book from states, most of which were made for the book of the month before."""
+    lake = trusted_lake(spark, d)
+    incremental.refresh_states(spark, lake, MONTH_BEFORE, AGAIN)
+    return incremental.build_book(spark, lake, PERIOD, DT_PROC, gate=False)
+
+
+def book_corrected(spark: SparkSession, d: str) -> DataFrame:
+    """The book after half of the payments came late, from states made before and made again where these touch them."""
+    lake = Lake(new_folder(spark))
+    for subject in monthly.SUBJECTS:
+        landing._prepare(spark, lake, subject)
+    rows = {s: trusted.TO_TRUSTED[s](fx.raw_of(spark, d, s), DT_PROC) for s in monthly.SUBJECTS}
+    early = F.col("id_pagamento") % 2 == 0
+    tables.write_trusted(tables.balance_by(rows[FATURAS], "ref"), lake.trusted(FATURAS), DT_PROC)
+    tables.write_trusted(tables.balance_by(rows[PAGAMENTOS].where(early), "ref"), lake.trusted(PAGAMENTOS), DT_PROC)
+    incremental.refresh_states(spark, lake, PERIOD, DT_PROC)
+    late = rows[PAGAMENTOS].where(~early).withColumn("dt_proc", F.lit(AGAIN))
+    tables.write_trusted(tables.balance_by(late, "ref"), lake.trusted(PAGAMENTOS), AGAIN)
+    return incremental.build_book(spark, lake, PERIOD, DT_PROC, gate=False)
+
+
 def control_rows(spark: SparkSession, d: str) -> DataFrame:
     """Written and read back, one row per subject."""
     lake = Lake(new_folder(spark))
@@ -201,18 +246,26 @@ def landing_ingest(subject: str) -> Query:
 
 
 def landing_redelivery(spark: SparkSession, d: str) -> DataFrame:
-    """Invoices landed, then delivered again under the same file names with a tenth of the amounts; only these count."""
+    """Invoices landed in parts, then delivered again under the same file names with a tenth of the amounts; only these count."""
     lake, source = Lake(new_folder(spark)), new_folder(spark)
-    raw = fx.raw_of(spark, d, FATURAS).coalesce(1)
+    raw = fx.raw_of(spark, d, FATURAS)
     for factor in ("1", "0.1"):
         amount = (F.col("valor_fatura").cast("decimal(14,2)") * F.lit(factor).cast("decimal(2,1)")).cast("decimal(14,2)")
-        fresh = new_folder(spark)
-        raw.withColumn("valor_fatura", amount.cast("string")).write.option("header", True).csv(fresh)
-        fx.put_file(spark, fresh, f"{source}/faturas.csv")
+        fx.deliver(spark, raw.withColumn("valor_fatura", amount.cast("string")), new_folder(spark), source, FATURAS)
         landing.land_files(spark, lake, FATURAS, source)
     return landing.scan_raw(spark, lake, FATURAS)
 
 
+def landing_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by subject from one folder that holds the files of both, told apart by their names."""
+    lake, source = Lake(new_folder(spark)), new_folder(spark)
+    for subject in monthly.SUBJECTS:
+        fx.deliver(spark, fx.raw_of(spark, d, subject), new_folder(spark), source, subject)
+    monthly.ingest(spark, lake, monthly.mixed_delivery(source))
+    rows = [landing.scan_raw(spark, lake, s).agg(F.lit(s).alias("tb_name"), F.count(F.lit(1)).alias("qtd"), F.max("id_fatura").alias("ultima")) for s in monthly.SUBJECTS]
+    return rows[0].unionByName(rows[1])
+
+
 def landing_control(spark: SparkSession, d: str) -> DataFrame:
     """Rows by subject according to the control rows of the landed files."""
     lake = landed_lake(spark, d)
@@ -251,10 +304,15 @@ QUERIES: dict[str, Query] = {
     "stored_book_lookup": stored_lookup,
     "book_retry": book_retry,
     "book_replaced": book_replaced,
+    "join_bucketed": join_bucketed,
+    "repeated_bucketed": repeated_bucketed,
+    "book_from_states": book_from_states,
+    "book_corrected": book_corrected,
     "control_row": control_rows,
     "landing_ingest_faturas": landing_ingest(FATURAS),
     "landing_ingest_pagamentos": landing_ingest(PAGAMENTOS),
     "landing_redelivery": landing_redelivery,
+    "landing_mixed": landing_mixed,
     "landing_control": landing_control,
     "control_gate": control_gate,
     "normalize_faturas": lambda spark, d: trusted.normalize_faturas(fx.raw_faturas(spark, d)),
