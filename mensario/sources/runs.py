@@ -110,9 +110,14 @@ def next_order(spark: SparkSession, path: str) -> int:
     return max((run["ordem"] for run in records(spark, path)), default=-1) + 1
 
 
-def _append(spark: SparkSession, path: str, run: tuple) -> None:
+def _append(spark: SparkSession, path: str, run: dict[str, object]) -> None:
     """One file, written whole or not at all."""
-    spark.createDataFrame([run], RUN).coalesce(1).write.mode("append").parquet(_records_folder(path))
+    kinds = {f.name: f.dataType for f in RUN}
+    months = F.array(*map(F.lit, run.pop("meses")))
+    sources = [F.lit(x) for pair in (run.pop("fontes") or {}).items() for x in pair]
+    row = {**{name: F.lit(value) for name, value in run.items()}, "meses": months, "fontes": F.create_map(*sources) if sources else F.lit(None)}
+    one = spark.range(0, 1, 1, 1).select(*(row[name].cast(kind).alias(name) for name, kind in kinds.items()))
+    one.write.mode("append").parquet(_records_folder(path))
 
 
 def record(
@@ -128,12 +133,14 @@ def record(
     """Make a try count, for the months it wrote or for ``months``, of which some may have no rows."""
     if months is None:
         months = sorted((_month_of(f) for f in folders(spark, f"{path}/ref=*/dt_proc={dt_proc}/{TRY}={attempt}")), key=str)
-    _append(spark, path, (dt_proc, attempt, next_order(spark, path), replaces, months, buckets, sources))
+    order = next_order(spark, path)
+    _append(spark, path, {"dt_proc": dt_proc, TRY: attempt, "ordem": order, "substitui": replaces, "meses": months, "baldes": buckets, "fontes": sources})
 
 
 def settle(spark: SparkSession, path: str, sources: dict[str, str]) -> None:
     """Say what months that stay as they are would now be made from."""
-    _append(spark, path, (None, None, next_order(spark, path), False, [], None, sources))
+    order = next_order(spark, path)
+    _append(spark, path, {"dt_proc": None, TRY: None, "ordem": order, "substitui": False, "meses": [], "baldes": None, "fontes": sources})
 
 
 def sources(spark: SparkSession, path: str) -> dict[str, str]:
