@@ -10,10 +10,12 @@ irregular pairs are shuffled: first their counts, then each document's pairs to
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from mensario.llm.common import cut
 from mensario.llm.pieces import SPACE, Vocabulary, by_size, ragged, vocabulary
 
 #: Characters of text aligned at once; distinct stretches and links a task keeps.
-BATCH_SYMBOLS, KEPT_STRETCHES, KEPT_LINKS = 1 << 18, 1 << 17, 1 << 21
+BATCH_SYMBOLS, KEPT_STRETCHES, KEPT_LINKS = 1 << 18, 1 << 18, 1 << 21
 #: Irregular pairs with more than one in so many of all rows are at most so many, and their counts are broadcast.
 HOT_PAIRS = 100_000
 
@@ -85,17 +87,26 @@ def pair(path_a: str, path_b: str) -> Pair:
     return Pair(first, second, a, len_a, b, len_b, identity, spaces)
 
 
+def _written(ids: int, end: str) -> np.ndarray:
+    """Every id as text with ``end`` behind it."""
+    return np.array([f"{i}{end}" for i in range(ids)], object)
+
+
 class _Store:
-    """What is known of each distinct stretch: tokens, groups, links, and the groups written out."""
+    """What is known of each distinct stretch: tokens, groups, links, and the groups written out, each with a semicolon behind."""
 
     def __init__(self, both: Pair):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
         self.both = both
         self.tokenizer = Tokenizer.from_str(both.first)
         self.tokenizer.encode_special_tokens = True
         self.begins_a = np.cumsum(both.lengths_a) - both.lengths_a
         self.begins_b = np.cumsum(both.lengths_b) - both.lengths_b
+        n_a, n_b = len(both.identity), both.second.size
+        # what stands behind an id: of the first side inside a group and at its end, then of the second
+        self.texts = np.concatenate([_written(n_a, ","), _written(n_a, "|"), _written(n_b, ","), _written(n_b, ";")])
         self.clear()
 
     def clear(self) -> None:
@@ -107,46 +118,49 @@ class _Store:
     def full(self) -> bool:
         return len(self.number) > KEPT_STRETCHES or len(self.links) > KEPT_LINKS
 
+    def _whole(self, fresh: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Which stretches both sides give back byte for byte."""
+        both, raw = self.both, [s.encode() for s in fresh]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        texts, edges = [], []
+        for bytes_, begins, lengths, ids, n in ((both.bytes_a, self.begins_a, both.lengths_a, a, n_a), (both.bytes_b, self.begins_b, both.lengths_b, b, n_b)):
+            texts.append(bytes_[ragged(begins[ids], lengths[ids])].tobytes())
+            edges.append(np.r_[0, np.cumsum(lengths[ids])][np.r_[0, np.cumsum(n)]])
+        if all((np.diff(e) == sizes).all() for e in edges) and texts[0] == texts[1] == b"".join(raw):
+            return np.ones(len(fresh), bool)
+        (text_a, text_b), (edge_a, edge_b) = texts, (e.tolist() for e in edges)
+        return np.array([r == text_a[edge_a[i] : edge_a[i + 1]] == text_b[edge_b[i] : edge_b[i + 1]] for i, r in enumerate(raw)], bool)
+
     def add(self, fresh: list[str]) -> None:
         """Encode and align stretches not met before."""
-        both = self.both
-        ids = [e.ids for e in self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
-        a = np.fromiter((i for one in ids for i in one), np.int64)
+        both, width = self.both, self.both.second.size
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
         n_a = np.fromiter(map(len, ids), np.int64, len(ids))
+        a = np.fromiter(chain.from_iterable(ids), np.int64, int(n_a.sum()))
         b, n_b = both.second.encode_words([s.replace(" ", SPACE) for s in fresh])
         b = b.astype(np.int64)
-        raw = [s.encode() for s in fresh]
-        text_a = both.bytes_a[ragged(self.begins_a[a], both.lengths_a[a])].tobytes()
-        text_b = both.bytes_b[ragged(self.begins_b[b], both.lengths_b[b])].tobytes()
+        whole = self._whole(fresh, a, n_a, b, n_b)
         of_a, of_b = np.repeat(np.arange(len(fresh)), n_a), np.repeat(np.arange(len(fresh)), n_b)
-        edge_a = np.r_[0, np.cumsum(np.bincount(of_a, both.lengths_a[a], len(fresh)).astype(np.int64))].tolist()
-        edge_b = np.r_[0, np.cumsum(np.bincount(of_b, both.lengths_b[b], len(fresh)).astype(np.int64))].tolist()
-        whole = np.array([r == text_a[edge_a[i] : edge_a[i + 1]] == text_b[edge_b[i] : edge_b[i + 1]] for i, r in enumerate(raw)], bool)
         a, of_a = a[whole[of_a]], of_a[whole[of_a]]
         b, of_b = b[whole[of_b]], of_b[whole[of_b]]
         end_a, end_b = np.cumsum(both.lengths_a[a]), np.cumsum(both.lengths_b[b])
         shared = np.intersect1d(end_a, end_b, assume_unique=True)  # the ends of groups
         ends = np.union1d(end_a, end_b)  # between two of them lie one token of each side: a link
         link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        links = a[link_a] * both.second.size + b[link_b]
         count = lambda of: np.bincount(of, minlength=len(fresh)).astype(np.int64)
-        of_group = of_a[np.searchsorted(end_a, shared)]
-        in_a, in_b = np.searchsorted(end_a, shared, "right").tolist(), np.searchsorted(end_b, shared, "right").tolist()
-        word_a, word_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for k, m in zip(in_a, in_b):
-            groups.append(f"{','.join(word_a[i:k])}|{','.join(word_b[j:m])}")
-            i, j = k, m
-        n_groups = count(of_group)
-        base, at = len(self.written), 0
-        for k, n in enumerate(n_groups.tolist()):
-            self.number[fresh[k]] = base + k
-            self.written.append(";".join(groups[at : at + n]))
-            at += n
+        group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+        n = len(both.identity)
+        order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable")
+        texts = self.texts[np.r_[a + n * last_a, 2 * n + b + width * last_b][order]].tolist()
+        edges = np.r_[0, np.cumsum(count(of_a) + count(of_b))].tolist()
+        self.number.update(zip(fresh, range(len(self.written), len(self.written) + len(fresh))))
+        self.written.extend(map("".join, map(texts.__getitem__, map(slice, edges[:-1], edges[1:]))))
         self.whole = np.r_[self.whole, whole]
         self.n_a, self.n_b = np.r_[self.n_a, count(of_a)], np.r_[self.n_b, count(of_b)]
-        self.n_groups, self.n_links = np.r_[self.n_groups, n_groups], np.r_[self.n_links, count(of_a[link_a])]
-        self.links = np.r_[self.links, links]
+        self.n_groups = np.r_[self.n_groups, count(of_a[last_a])]
+        self.n_links = np.r_[self.n_links, count(of_a[link_a])]
+        self.links = np.r_[self.links, a[link_a] * width + b[link_b]]
 
 
 def _lists(values: np.ndarray, of: np.ndarray, n: int, kind: pa.DataType) -> pa.Array:
@@ -161,11 +175,11 @@ _PARTS = "n_a long, n_b long, n_groups long, n_links long, groups {groups}, same
 def _aligned(both: Pair, store: _Store, part: pa.RecordBatch, texts: list[str], digest: bool) -> pa.RecordBatch:
     split = [both.stretches(" " + t) if t else [] for t in texts]
     known = store.number
-    fresh = list(dict.fromkeys(s for stretches in split for s in stretches if s not in known))
+    fresh = list({s for stretches in split for s in stretches if s not in known})
     if fresh:
         store.add(fresh)
     counts = np.fromiter(map(len, split), np.int64, len(split))
-    flat = np.fromiter((known[s] for stretches in split for s in stretches), np.int64, int(counts.sum()))
+    flat = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
     of = np.repeat(np.arange(len(texts)), counts)
     whole = np.ones(len(texts), bool)
     whole[of[~store.whole[flat]]] = False
@@ -183,7 +197,7 @@ def _aligned(both: Pair, store: _Store, part: pa.RecordBatch, texts: list[str],
     groups, edges = [], np.r_[0, np.cumsum(np.bincount(of, minlength=len(texts)))].tolist()
     numbers = flat.tolist()
     for a, b in zip(edges[:-1], edges[1:]):
-        text = ";".join([store.written[i] for i in numbers[a:b]])
+        text = "".join(map(store.written.__getitem__, numbers[a:b]))[:-1]
         groups.append(sha256(text.encode()).hexdigest() if digest and text else text)
     return pa.RecordBatch.from_arrays(
         [
