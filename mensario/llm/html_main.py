@@ -14,7 +14,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +36,8 @@ BOILER_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended trending comment comments commentlist disqus respond reply replies "
     "search pagination pager toolbar masthead copyright skip form".split()
 )
+#: Parts that say nothing of what a block holds. A name of several parts tells only if each is one of these or a boilerplate word.
+FILLER = frozenset("slot box bar wrap wrapper container area block section list item items link links row col column top bottom left right inner outer main site page global primary secondary mobile desktop posts articles stories offers".split())
 #: Parts of names by which a wrapper tells what it has beside the main text; an article container inside counts.
 LAYOUT_NAMES = frozenset("nav navbar sidebar footer header toolbar ad ads banner cookie cookies modal overlay search form".split())
 #: Names of the form around a whole page.
@@ -45,7 +47,8 @@ MAIN_NAMES = frozenset("article-body article-content post-body post-content entr
 #: Start tags that end an open element of the second set.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<!--.*?-->|<!--.*\Z|<[!?][^>]*>""", re.S)
+_TAG = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)|(!--)|[!?])")
+_STOP = re.compile(r"""["'>]""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 OUT, OPEN, BODY, WRAP = 0, 1, 2, 3  # WRAP: out, but for article containers inside
@@ -66,7 +69,8 @@ def role(tag: str, attributes: str, outer: int) -> int:
         return OUT
     if tag in ("html", "body"):
         return inside
-    words = {w.lower() for n in names if not re.match(r"(?:has|no|with|is)[-_]", n) for w in _NAME.split(n)}
+    parts = [{w.lower() for w in _NAME.split(n) if w} for n in names if not re.match(r"(?:has|no|with|is)[-_]", n)]
+    words = set().union(*(p for p in parts if p <= BOILER_NAMES | FILLER))
     if tag == "form" and (lowered | {found.get("name", "").lower()}) & PAGE_FORMS:
         return outer
     if lowered & BOILER_NAMES:
@@ -78,23 +82,82 @@ def role(tag: str, attributes: str, outer: int) -> int:
     return BODY if kind in ("main", "article") or lowered & MAIN_NAMES else inside
 
 
+class _Tags:
+    """Finds tags one after another, each character looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.quotes = page, page.rfind(">"), True
+        self.unclosed: set[str] = set()
+
+    def next(self, at: int) -> tuple[int, int, str, str, bool] | None:
+        """Begin, end, name, attributes and whether it closes; comments have no name. None if there is no further tag."""
+        while True:
+            m = _TAG.search(self.page, at)
+            if m is None:
+                return None
+            if m[3]:
+                end = self.page.find("-->", m.end())
+                return m.start(), end + 3 if end >= 0 else len(self.page), "", "", False
+            end = self._end(m.end())
+            if end is None:
+                return None
+            return m.start(), end + 1, (m[2] or "").lower(), self.page[m.end() : end] if m[2] else "", m[1] == "/"
+
+    def _end(self, at: int) -> int | None:
+        """The place of the ">" that ends the tag, not one in quotes. Behind a quote that nothing closes, quotes count no more."""
+        if at > self.last:
+            return None
+        start = at
+        while self.quotes:
+            stop = _STOP.search(self.page, at)
+            if stop is None:
+                self.quotes = False
+            elif stop[0] == ">":
+                return stop.start()
+            else:
+                close = self.page.find(stop[0], stop.end())
+                self.quotes = close >= 0
+                at = close + 1
+        found = self.page.find(">", start)
+        return found if found >= 0 else None
+
+    def body(self, at: int) -> int | None:
+        """Where the next body begins; None if none does, which is looked for once."""
+        found = None if "body" in self.unclosed else re.compile(r"<body\b", re.I).search(self.page, at)
+        if found is None:
+            self.unclosed.add("body")
+        return found.start() if found else None
+
+    def behind(self, tag: str, at: int) -> int | None:
+        """The place behind the tag that closes ``tag``; None if there is none, which is looked for once."""
+        if tag in self.unclosed:
+            return None
+        end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(self.page, at)
+        if end is None:
+            self.unclosed.add(tag)
+        return end.end() if end else None
+
+
 def lines(page: str | None) -> list[tuple[str, int]]:
     """(text, role) of each block with text that is not boilerplate, in page order. NULL has none."""
     page = page or ""
     result: list[tuple[str, int]] = []
     pieces: list[str] = []
     stack: list[tuple[str, int]] = [("", OPEN)]
-    linked, letters, at = 0, 0, 0
+    open_tags: Counter[str] = Counter()
+    tags = _Tags(page)
+    linked, letters, links, at = 0, 0, 0, 0
 
     def end_block() -> None:
-        nonlocal linked, letters
+        nonlocal linked, letters, links
         text = " ".join("".join(pieces).split())
         if text and stack[-1][1] in (OPEN, BODY):
-            # a block outside an article that is mostly links is a menu
-            if stack[-1][1] == BODY or 2 * linked <= letters:
+            # a block outside an article that is mostly links is a menu, if there are several or it is an item of a list
+            menu = 2 * linked > letters and (links > 1 or open_tags["li"])
+            if stack[-1][1] == BODY or not menu:
                 result.append((text, stack[-1][1]))
         pieces.clear()
-        linked = letters = 0
+        linked = letters = links = 0
 
     def add(raw: str) -> None:
         nonlocal linked, letters
@@ -103,54 +166,58 @@ def lines(page: str | None) -> list[tuple[str, int]]:
         text = html.unescape(raw) if "&" in raw else raw
         pieces.append(text)
         letters += len(text.strip())
-        if any(t == "a" for t, _ in stack):
+        if open_tags["a"]:
             linked += len(text.strip())
 
+    def leave(k: int) -> None:
+        open_tags.subtract(t for t, _ in stack[k:])
+        del stack[k:]
+
     while at < len(page):
-        m = _TAG.search(page, at)
-        if m is None:
+        found = tags.next(at)
+        if found is None:
             add(page[at:])
             break
-        add(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        begin, end, tag, attributes, closing = found
+        add(page[at:begin])
+        at = end
         if not tag:
             continue
-        closing, attributes = (m[1] or m[4]) == "/", m[3] or m[6] or ""
         if tag in BLOCKS:
             end_block()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    if stack[k][1] != stack[k - 1][1]:
-                        end_block()
-                    del stack[k:]
-                    break
+            if open_tags[tag]:
+                k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag)
+                if stack[k][1] != stack[k - 1][1]:
+                    end_block()
+                leave(k)
             continue
         if tag in SILENT:
             if attributes.rstrip().endswith("/"):
                 continue
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            if tag == "head":  # an unclosed head ends where the body begins
-                end = end or re.compile(r"(?=<body\b)", re.I).search(page, at)
-                if end is None:
+            behind = tags.behind(tag, at)
+            if behind is None and tag == "head":  # an unclosed head ends where the body begins
+                behind = tags.body(at)
+                if behind is None:
                     continue
-            at = end.end() if end else len(page)
+            at = len(page) if behind is None else behind
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES or (tag in BLOCKS and any(t == "p" for t, _ in stack)):
+        if tag in CLOSES or (tag in BLOCKS and open_tags["p"]):
             ends = CLOSES.get(tag, {"p"})
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in ends:
-                    del stack[k:]
+                    leave(k)
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "article", "section", "div"):
                     break
         inner = role(tag, attributes, stack[-1][1])
         if inner != stack[-1][1]:
             end_block()
+        links += tag == "a"
         stack.append((tag, inner))
+        open_tags[tag] += 1
     end_block()
     return result
 
@@ -186,12 +253,14 @@ def common(a: list[int], b: list[int]) -> set[int]:
 
 
 def undecided(own: list[int], before: list[int] | None, after: list[int] | None) -> list[bool]:
-    """Which open lines of a page stay. The first mark is that of the whole page: a neighbour with the very same lines
-    is a copy and tells nothing."""
+    """Which open lines of a page stay. The first mark is that of the whole page. A neighbour with the very same lines, or with
+    all lines of the shorter of the two, is a copy and tells nothing: pages of one template have lines of their own."""
     shared: set[int] = set()
     for other in (before, after):
         if other and other[0] != own[0]:
-            shared |= common(own[1:], other[1:])
+            both = common(own[1:], other[1:])
+            if len(both) < min(len(own), len(other)) - 1:
+                shared |= both
     return [i not in shared for i in range(len(own) - 1)]
 
 

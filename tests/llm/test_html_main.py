@@ -1,7 +1,9 @@
+import time
+
 import pytest
 
 from mensario.llm import html_main
-from mensario.llm.html_main import BODY, OPEN, common, lines
+from mensario.llm.html_main import BODY, OPEN, common, lines, undecided
 from mensario.llm.queries import op3_html
 from tests.conftest import TESTDATA
 
@@ -23,6 +25,37 @@ def test_broken_pages_end(page):
     assert isinstance(lines(page), list)
 
 
+MAIN = [
+    ("<div class='page-with-sidebar'><p>Main text</p></div>", ["Main text"]),
+    ("<article><p class='share-price'>Up</p></article>", ["Up"]),
+    ("<article><div class='social-policy'>Of the state</div></article>", ["Of the state"]),
+    ("<main><h2 class='ad-hoc'>A query</h2></main>", ["A query"]),
+    ("<main><p class='form-guide'>How to</p></main>", ["How to"]),
+    ("<article><section id='comment-on-the-law'>It is new</section></article>", ["It is new"]),
+    ("<div><p><a>The whole sentence is a link</a></p><p>Next</p></div>", ["The whole sentence is a link", "Next"]),
+    ("<div class='ad-box'>Buy</div><div id='site-footer'>(c)</div><ul><li><a>Home</a></li></ul><p><a>One</a> <a>Two</a></p><p>Text</p>", ["Text"]),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), MAIN)
+def test_a_part_of_a_name_drops_nothing(page, want):
+    assert [t for t, _ in lines(page)] == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a '", "<head>", "<a \">'", "</x>", "<li>", "<", "<!-", "<script>", "<p><b>", "<title>x</title>"])
+def test_broken_pages_of_a_megabyte_take_a_moment(piece):
+    start = time.perf_counter()
+    lines("<div>" * 5000 + piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 8
+
+
+def test_a_near_copy_is_no_witness():
+    marks = lambda *texts: [hash(texts), *map(hash, texts)]
+    three, four, other = marks("a", "b", "c"), marks("a", "b", "c", "d"), marks("a", "x", "c", "y")
+    assert undecided(three, four, None) == [True] * 3 and undecided(four, three, None) == [True] * 4
+    assert undecided(four, other, None) == [False, True, False, True]
+
+
 def longest(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):

@@ -112,3 +112,10 @@ def test_samples_are_bounded_and_agree(spark):
     df = spark.range(20_000).selectExpr("id", "if(id % 100 = 0, 'rare', 'common') as s")
     one, two = (sorted(tuple(r) for r in stratified(df, "s", "id", 500).collect()) for _ in range(2))
     assert one == two and sum(s == "rare" for _, s in one) == 200 and 350 < sum(s == "common" for _, s in one) < 650
+
+
+def test_strata_beyond_the_commonest_share_one_rate(spark):
+    rows = spark.range(6000).selectExpr("id as doc_id", "case when id < 3000 then 'a' when id < 4000 then 'b' when id < 5900 then concat('rare', id) end as lang")
+    counts = {r.lang: r["count"] for r in stratified(rows, "lang", "doc_id", 100, max_strata=2).groupBy("lang").count().collect()}
+    assert None not in counts and 60 < counts["a"] < 150 and 60 < counts["b"] < 150
+    assert 60 < sum(n for lang, n in counts.items() if lang.startswith("rare")) < 150

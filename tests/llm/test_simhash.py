@@ -71,3 +71,15 @@ def test_a_shared_doc_id_loses_no_text(docs):
     one, two = ("the mill by the river turns all day and night", "quite different matters were said about ships at sea")
     kept = simhash.deduplicate(docs([(1, one), (1, two), (1, one), (2, two), (3, one)]))
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, one), (1, two)])
+
+
+def test_one_row_of_a_class_stays_whatever_the_ids_and_column_names(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(3, text), (2, text), (None, text), (None, "of no document " + text[:80]), (None, "of no document " + text[:80]), (7, "other words " * 9), (7, text), (8, None), (None, "")]
+    names = ["row", "n", "id", "last", "hash", "fp", "rep", "class", "first", "_text_hash", "_kept", "_kept_hash", "node", "component"]
+    table = spark.createDataFrame([(*r, *range(len(names))) for r in rows], ["doc_id", "text", *names])
+    found = simhash.deduplicate(table)
+    assert found.columns == table.columns
+    kept = sorted(((r.doc_id, r.text) for r in found.collect()), key=str)
+    assert kept == sorted([(2, text), (None, "of no document " + text[:80]), (7, "other words " * 9), (8, None)], key=str)
+    assert simhash.deduplicate(table.limit(0)).collect() == []
