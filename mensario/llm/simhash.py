@@ -256,17 +256,19 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class: that of the least (doc_id, hash of the text). Rows without doc_id stay.
+    """``docs`` with one row of each class: that of the least (doc_id, hash of the text), NULL ids last.
 
-    Classes are of fingerprints, so texts that only share their doc_id are told apart; repeats of doc_id and text are one.
+    Classes are of fingerprints, so texts that only share their doc_id are told apart, and rows without doc_id are
+    in the class of their text like any others. Rows equal in doc_id and text are one. Columns may have any names.
     """
-    named = docs.where("doc_id IS NOT NULL").withColumn("_text_hash", F.xxhash64("text"))
-    prints = cut(fingerprints(named.select(F.struct("doc_id", F.col("_text_hash").alias("text_hash")).alias("doc_id"), "text")))
+    name = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"))
+    prints = cut(fingerprints(docs.select(name.alias("doc_id"), "text")))
     distinct = cut(prints.select("fp").distinct().withColumn("rep", F.col("fp")))
     linked = components(near_pairs(distinct))
     labels = distinct.join(linked, distinct["rep"] == linked["node"], "left").select("fp", F.coalesce("component", "rep").alias("class"))
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).join(labels, "fp").groupBy("class").agg(F.min("first").alias("first"))
-    keep = firsts.select(F.col("first.doc_id").alias("_kept"), F.col("first.text_hash").alias("_kept_hash"))
-    same = (F.col("doc_id") == F.col("_kept")) & (F.col("_text_hash") == F.col("_kept_hash"))
-    chosen = named.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
-    return chosen.unionByName(docs.where("doc_id IS NULL"))
+    key = [F.coalesce(F.col("n.doc_id").cast("string"), F.lit("")).alias("id"), F.col("n.last").alias("last"), F.col("n.hash").alias("hash")]
+    keep = firsts.select(F.col("first").alias("n")).select(*key)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), name.alias("n")).select("row", *key)
+    same = ["id", "last", "hash"]
+    return rows.join(keep, same, "left_semi").dropDuplicates(same).select("row.*")
