@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from uuid import uuid4
 
@@ -41,27 +42,42 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove the files of tables that ``cut`` wrote and nothing reads any more, and those of shuffles nothing refers to.
+
+    Spark removes a shuffle's files once the driver's JVM has collected what stood for it; so have it collect.
+    """
+    for table in tables:
+        for path in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            location = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(location, True)
+    gc.collect()
+    for spark in {SparkSession.getActiveSession()} - {None}:
+        spark._jvm.java.lang.System.gc()
+
+
 def fold(doc_id: Column) -> Column:
     """0 for held-out rows, NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
 def stratified(df: DataFrame, stratum: str, key: str, per_stratum: int, max_strata: int = 4096) -> DataFrame:
-    """About ``per_stratum`` rows of each value of ``stratum``, all rows of smaller ones.
+    """About ``per_stratum`` rows of each value of ``stratum``, all rows of smaller ones; of the values beyond the
+    ``max_strata`` commonest so many of all together. Rows without a value are left out.
 
-    Chosen by a hash of ``key``, so repeated calls agree. Only the counts per stratum
-    come to the driver; more than ``max_strata`` strata raise ValueError.
+    Chosen by a hash of ``key``, so repeated calls agree. Counts of the commonest values alone come to the driver.
     """
-    counts = df.groupBy(stratum).count().limit(max_strata + 1).collect()
-    if len(counts) > max_strata:
-        raise ValueError(f"more than {max_strata} values of {stratum}")
+    df = df.where(F.col(stratum).isNotNull())
+    rows = df.count()
+    counts = df.groupBy(stratum).count().orderBy(F.desc("count"), stratum).limit(max_strata).collect()
     if not counts:
         return df.limit(0)
     rates = df.sparkSession.createDataFrame(
         [(row[0], min(1.0, per_stratum / row[1])) for row in counts], f"`{stratum}` {df.schema[stratum].dataType.simpleString()}, _rate double"
     )
+    others = min(1.0, per_stratum / max(1, rows - sum(row[1] for row in counts)))
     share = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return df.join(F.broadcast(rates), stratum).where(share < F.col("_rate")).select(*df.columns)
+    return df.join(F.broadcast(rates), stratum, "left").where(share < F.coalesce("_rate", F.lit(others))).select(*df.columns)
 
 
 def slices(n_rows: int, rows_each: int, least: int, most: int) -> int:
