@@ -17,7 +17,9 @@ Steps 2 and 3 share the partitioning by customer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +27,21 @@ from mensario.operators.features import AVG, BOOK_GRID, MAX, MIN, SUM, FeatureGr
 
 KEYS = ("id_cliente", "ref", "dt_proc")
 
+#: Stage rows or states whose customers a task merges and spreads. Adaptive execution sizes tasks by shuffled bytes, of which
+#: one becomes about 50 of cells and wide rows.
+TASK_ROWS = 250_000
+
 # Partial states each aggregate is made from.
 _STATES_OF = {SUM: ("sum",), AVG: ("sum", "count"), MIN: ("min",), MAX: ("max",)}
 _COLLECT = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """Tasks to build a book of so many stage rows or states in; None, as adaptive execution sees fit, if they are few."""
+    return max(ceil(rows / TASK_ROWS), spark.sparkContext.defaultParallelism) if rows > TASK_ROWS else None
+
+
 def _states(grid: FeatureGrid) -> list[tuple[str, str]]:
     return [
         (value, state)
@@ -99,18 +110,18 @@ def _finish(value: str, agg: str, dtype: T.DataType) -> Column:
     return col
 
 
-def merge_cells(states: DataFrame, types: dict[str, T.DataType], grid: FeatureGrid = BOOK_GRID) -> DataFrame:
+def merge_cells(states: DataFrame, types: dict[str, T.DataType], grid: FeatureGrid = BOOK_GRID, tasks: int | None = None) -> DataFrame:
     """Step 2: the finished features of every cell a customer has rows in.
 
     A row whose labels are all unknown to the grid keeps its customer through a NULL cell.
     No customer brings more rows than there are class and window combinations, so the
-    partitions are even, and adaptive execution sizes them.
+    partitions are even, and adaptive execution sizes them unless ``tasks`` are given.
     """
     columns = [f"{state}_{value}" for value, state in _states(grid)]
     labels = F.array(*[f"code_{c}" for c in grid.label_columns])
     windows = F.expr(f"array({', '.join(map(str, range(len(grid.windows))))})")
     merged = (
-        states.repartition("id_cliente")
+        (states.repartition(tasks, "id_cliente") if tasks else states.repartition("id_cliente"))
         .select(*KEYS, "mask", F.explode(labels).alias("label"), *columns)
         .select(*KEYS, "mask", "label", F.explode(windows).alias("window"), *columns)
         .where("mask & shiftleft(1, window) != 0")
@@ -143,15 +154,15 @@ def spread_cells(cells: DataFrame, grid: FeatureGrid = BOOK_GRID) -> DataFrame:
     )
 
 
-def build_features(flagged: DataFrame, grid: FeatureGrid = BOOK_GRID) -> DataFrame:
-    """Stage rows with window flags to the book."""
+def build_features(flagged: DataFrame, grid: FeatureGrid = BOOK_GRID, tasks: int | None = None) -> DataFrame:
+    """Stage rows with window flags to the book; ``tasks`` as from ``tasks_for``."""
     types = {value: flagged.schema[value].dataType for value, _ in grid.values}
-    return spread_cells(merge_cells(combine_rows(flagged, grid), types, grid), grid)
+    return spread_cells(merge_cells(combine_rows(flagged, grid), types, grid, tasks), grid)
 
 
-def features_of_states(flagged: DataFrame, types: dict[str, T.DataType], grid: FeatureGrid = BOOK_GRID) -> DataFrame:
+def features_of_states(flagged: DataFrame, types: dict[str, T.DataType], grid: FeatureGrid = BOOK_GRID, tasks: int | None = None) -> DataFrame:
     """As ``build_features``, from states instead of rows; ``types`` are those of the values."""
-    return spread_cells(merge_cells(combine_states(flagged, grid), types, grid), grid)
+    return spread_cells(merge_cells(combine_states(flagged, grid), types, grid, tasks), grid)
 
 
 def book_of(book: DataFrame, id_cliente: int) -> DataFrame:

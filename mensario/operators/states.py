@@ -67,9 +67,14 @@ def _with_days(states: DataFrame, period: Period) -> DataFrame:
     return states.withColumns({f"{name}_{_DAYS}": F.when(unpaid, value).otherwise(F.col(f"{name}_{_DAYS}")) for name, value in of_state.items()})
 
 
-def book_of_states(states: DataFrame, period: Period, dt_proc: str) -> DataFrame:
-    """The book of ``period`` from the states of its months. One shuffle by customer, of states only."""
-    rows = _with_days(states.where(_in_period(period)), period)
+def states_of(states: DataFrame, period: Period) -> DataFrame:
+    """The states that the book of ``period`` is merged from."""
+    return states.where(_in_period(period))
+
+
+def book_of_states(states: DataFrame, period: Period, dt_proc: str, tasks: int | None = None) -> DataFrame:
+    """The book of ``period`` from the states of its months. One shuffle by customer, of states only, to ``tasks`` if given."""
+    rows = _with_days(states_of(states, period), period)
     rows = rows.withColumns({"ref": period.ref, "dt_proc": F.lit(dt_proc)})
     types = {value: STAGE[value].dataType for value in (*_MEASURED, "fvl_qtd_transacao")}
-    return features_of_states(with_window_flags(rows, period), types)
+    return features_of_states(with_window_flags(rows, period), types, tasks=tasks)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from mensario import fixed_values as fv
 from mensario.functions.period import Period, processing_stamp
+from mensario.operators.book import tasks_for
 from mensario.operators.joins import KEYS
-from mensario.operators.states import book_of_states, build_states
+from mensario.operators.states import book_of_states, build_states, states_of
 from mensario.plans.monthly import BOOK_CONSUMER, SUBJECTS
 from mensario.schemas import STATE
 from mensario.sources import runs
@@ -94,6 +95,8 @@ def build_book(
     open_gate = require_pending if gate else waiting_files
     waiting = [open_gate(spark, lake, subject, BOOK_CONSUMER) for subject in SUBJECTS]
     refresh_states(spark, lake, period, dt_proc)
-    write_book(book_of_states(scan_runs(spark, STATE, lake.states), period, dt_proc), lake.book, dt_proc, mode)
+    states = scan_runs(spark, STATE, lake.states)
+    tasks = tasks_for(spark, states_of(states, period).count())
+    write_book(book_of_states(states, period, dt_proc, tasks), lake.book, dt_proc, mode, ref=period.ref)
     mark_processed(waiting[0].unionByName(waiting[1]), lake, BOOK_CONSUMER, dt_proc)
     return scan_book(spark, lake.book).where((F.col("ref") == period.ref) & (F.col("dt_proc") == dt_proc))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mensario import fixed_values as fv
 from mensario.functions.period import Period, processing_stamp
-from mensario.operators.book import build_features
+from mensario.operators.book import build_features, tasks_for
 from mensario.operators.inspection import bounds, columns_of, in_period, months_present, repeats, repeats_stored, sample_rows
 from mensario.operators.joins import join_faturas_pagamentos, join_stored
 from mensario.operators.stage import build_stage, with_window_flags
@@ -172,13 +172,11 @@ def build_book(
     open_gate = require_pending if gate else waiting_files
     waiting = [open_gate(spark, lake, subject, BOOK_CONSUMER) for subject in SUBJECTS]
 
-    write_stage(build_stage(_joined(spark, lake, period), period, dt_proc), lake.stage, dt_proc, mode)
+    rows = write_stage(build_stage(_joined(spark, lake, period), period, dt_proc), lake.stage, dt_proc, mode, ref=period.ref)
 
     this_run = (F.col("ref") == period.ref) & (F.col("dt_proc") == dt_proc)
-    # As constants again, the partition columns need no sort before the write.
-    constants = {"ref": period.ref, "dt_proc": F.lit(dt_proc)}
-    stage = scan_stage(spark, lake.stage).where(this_run).withColumns(constants)
-    write_book(build_features(with_window_flags(stage, period)), lake.book, dt_proc, mode)
+    stage = with_window_flags(scan_stage(spark, lake.stage).where(this_run), period)
+    write_book(build_features(stage, tasks=tasks_for(spark, rows)), lake.book, dt_proc, mode, ref=period.ref)
 
     # in one write: both subjects or none
     mark_processed(waiting[0].unionByName(waiting[1]), lake, BOOK_CONSUMER, dt_proc)

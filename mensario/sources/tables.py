@@ -10,7 +10,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,18 +95,27 @@ def balance_by(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _write_run(
-    df: DataFrame, path: str, dt_proc: str, mode: str, months: list[str] | None = None, sources: dict[str, str | None] | None = None, **options: str
+    df: DataFrame,
+    path: str,
+    dt_proc: str,
+    mode: str,
+    months: list[str] | None = None,
+    sources: dict[str, str | None] | None = None,
+    ref: Column | None = None,
+    **options: str,
 ) -> int:
     """Parquet by month, run and try, then the run's record; returns how many rows. They count from the record on, instead of
     those of an earlier try under the same stamp, and with ``replace_months`` instead of all other runs of the months.
 
-    What earlier runs have hidden is removed first. The rows are counted by the job that writes them.
+    What earlier runs have hidden is removed first. The rows are counted by the job that writes them. ``ref`` is the month, a constant, if
+    all rows are of one and of ``dt_proc``: as constants behind the count, the partition columns need no sort of a task's rows.
     """
     spark, attempt, written = df.sparkSession, uuid4().hex, Observation()
     if any(run["baldes"] for run in runs.records(spark, path)):
         raise ValueError(f"{path} is bucketed")
     runs.remove_hidden(spark, path, dt_proc)
-    rows = df.observe(written, F.count(F.lit(1)).alias("rows")).withColumn(runs.TRY, F.lit(attempt))
+    constants = {runs.TRY: F.lit(attempt)} | ({} if ref is None else {"ref": ref, "dt_proc": F.lit(dt_proc)})
+    rows = df.observe(written, F.count(F.lit(1)).alias("rows")).withColumns(constants)
     rows.write.partitionBy("ref", "dt_proc", runs.TRY).mode("append").options(**options).parquet(path)
     runs.record(spark, path, dt_proc, attempt, mode == REPLACE_MONTHS, months=months, sources=sources)
     return written.get["rows"]
@@ -117,16 +126,16 @@ def write_trusted(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) ->
     return _write_run(df, path, dt_proc, mode)
 
 
-def write_stage(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> int:
-    """A run has one ``ref``, so there is nothing to gather before writing."""
-    return _write_run(df, path, dt_proc, mode)
+def write_stage(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND, ref: Column | None = None) -> int:
+    """A run has one ``ref``, so there is nothing to gather before writing; given, there is nothing to sort."""
+    return _write_run(df, path, dt_proc, mode, ref=ref)
 
 
-def write_book(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND) -> int:
-    """A Bloom filter per row group, sized to what it holds, lets the lookup of one customer
+def write_book(df: DataFrame, path: str, dt_proc: str, mode: str = APPEND, ref: Column | None = None) -> int:
+    """``ref`` as in ``write_stage``. A Bloom filter per row group, sized to what it holds, lets the lookup of one customer
     skip nearly all of a table that is spread by hash of the customer."""
     bloom = {"parquet.bloom.filter.enabled#id_cliente": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
-    return _write_run(df, path, dt_proc, mode, **bloom)
+    return _write_run(df, path, dt_proc, mode, ref=ref, **bloom)
 
 
 def write_states(df: DataFrame, path: str, dt_proc: str, months: list[str], sources: dict[str, str | None]) -> int:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mensario import fixed_values as fv
-from mensario.operators.book import KEYS, book_of, build_features, combine_rows
+from mensario.operators.book import KEYS, book_of, build_features, combine_rows, tasks_for
 from mensario.operators.features import BOOK_GRID, FeatureGrid
 from mensario.operators.stage import with_window_flags
 from mensario.schemas import STAGE
@@ -152,3 +152,14 @@ def test_plan_has_two_shuffles_and_no_python(spark, period, tmp_path, capsys):
     assert "Python" not in plan and "SortAggregate" not in plan
     # Columns no feature uses are not read.
     assert "fvl_vlr_pagto_min" not in plan
+
+
+def test_a_large_book_is_built_in_as_many_tasks_as_its_rows_need(spark, flagged, capsys):
+    least = spark.sparkContext.defaultParallelism
+    assert [tasks_for(spark, n) for n in (0, 250_000, 250_001, 10**8)] == [None, None, least, 400]
+    book = build_features(flagged, tasks=37)
+    assert by_customer(book) == by_customer(build_features(flagged))
+    capsys.readouterr()
+    book.explain()
+    plan = capsys.readouterr().out
+    assert "REPARTITION_BY_NUM" in plan and ", 37)" in plan and "REPARTITION_BY_COL" not in plan

@@ -1,10 +1,11 @@
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.sql import functions as F
 
 from mensario.operators.inspection import bounds, columns_of, in_period, months_present
 from mensario.operators.trusted import trusted_faturas
 from mensario.schemas import RAW_FATURA, TRUSTED_FATURA
-from mensario.sources import control
+from mensario.sources import control, tables
 from mensario.sources.files import scan_csv
 from mensario.sources.tables import (
     REPLACE_MONTHS,
@@ -88,3 +89,20 @@ def test_missing_table_is_empty_but_other_errors_are_not_hidden(spark, tmp_path)
     assert scan_parquet_or_empty(spark, TRUSTED_FATURA, str(tmp_path / "none")).isEmpty()
     with pytest.raises(Py4JJavaError):
         scan_parquet_or_empty(spark, TRUSTED_FATURA, "no-such-scheme://x")
+
+
+@pytest.mark.parametrize("write", [tables.write_stage, tables.write_book])
+def test_rows_of_one_month_are_written_without_a_sort(spark, tmp_path, write):
+    rows = spark.range(100).selectExpr("id as id_cliente", "if(id < 0, 'x', '202402') as ref", "if(id < 0, 'y', 'a') as dt_proc", "id as v").repartition(2)
+
+    def plan():
+        store = spark._jsparkSession.sharedState().statusStore()
+        found = store.executionsList()
+        texts = [found.apply(i).physicalPlanDescription() for i in range(found.size())]
+        return [t for t in texts if "InsertIntoHadoopFsRelationCommand" in t and "CollectMetrics" in t][-1]
+
+    for ref, sorts in ((None, True), (F.lit("202402"), False)):
+        path = str(tmp_path / f"{sorts}")
+        assert write(rows, path, "a", ref=ref) == 100
+        assert ("Sort" in plan()) == sorts
+        assert sorted(map(tuple, spark.read.parquet(path).selectExpr("id_cliente", "cast(ref as string)", "dt_proc", "v").collect())) == [(i, "202402", "a", i) for i in range(100)]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from mensario import fixed_values as fv
 from mensario.operators import inspection, joins, stage, trusted
-from mensario.operators.book import book_of, build_features
+from mensario.operators.book import book_of, build_features, tasks_for
 from mensario.plans import incremental, monthly
 from mensario.sources import bucketed, control, files, tables
 from mensario.sources.lake import Lake
@@ -77,8 +77,8 @@ def flagged(spark: SparkSession, d: str) -> DataFrame:
     return stage.with_window_flags(stage_rows(spark, d), PERIOD)
 
 
-def book(spark: SparkSession, d: str) -> DataFrame:
-    return build_features(flagged(spark, d))
+def book(spark: SparkSession, d: str, tasks: int | None = None) -> DataFrame:
+    return build_features(flagged(spark, d), tasks=tasks)
 
 
 # Steps that go through files. Each run writes to a folder of its own.
@@ -133,13 +133,14 @@ def trusted_sink(subject: str, amount: str) -> Query:
 
 def stored_stage(spark: SparkSession, d: str) -> DataFrame:
     folder = new_folder(spark)
-    tables.write_stage(stage_rows(spark, d), folder, DT_PROC)
+    tables.write_stage(stage_rows(spark, d), folder, DT_PROC, ref=PERIOD.ref)
     return tables.scan_stage(spark, folder)
 
 
 def stored_book(spark: SparkSession, d: str) -> DataFrame:
     folder = new_folder(spark)
-    tables.write_book(book(spark, d), folder, DT_PROC)
+    tasks = tasks_for(spark, flagged(spark, d).count())
+    tables.write_book(book(spark, d, tasks), folder, DT_PROC, ref=PERIOD.ref)
     return tables.scan_book(spark, folder)
 
 
@@ -161,7 +162,7 @@ def trusted_lake(spark: SparkSession, d: str) -> Lake:
 def book_retry(spark: SparkSession, d: str) -> DataFrame:
     """A book whose first try ended after the stage was written, built again under the same stamp."""
     lake = trusted_lake(spark, d)
-    tables.write_stage(stage_rows(spark, d), lake.stage, DT_PROC)
+    tables.write_stage(stage_rows(spark, d), lake.stage, DT_PROC, ref=PERIOD.ref)
     return monthly.build_book(spark, lake, PERIOD, DT_PROC, gate=False)
 
 
