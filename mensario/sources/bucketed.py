@@ -9,6 +9,7 @@ than a bucket should hold would fill its bucket, so the rows of such hot keys li
 from __future__ import annotations
 
 from hashlib import md5
+from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,8 +23,10 @@ from mensario.sources.tables import APPEND, REPLACE_MONTHS
 
 #: Partition folder that tells rows of hot keys from the others.
 HOT = "quente"
-#: Places the rows of hot keys are spread over, for each bucket.
-SPREAD = 4
+#: Rows a task of a write is to hold, for it sorts them by month and bucket.
+TASK_ROWS = 1_000_000
+#: Rows of a bucket over all months that ``buckets_for`` allows, for a join sorts a bucket of the months it reads.
+BUCKET_ROWS = 4_000_000
 _PARTITIONS = ("ref", "dt_proc", runs.TRY, HOT)
 
 
@@ -48,11 +51,21 @@ def _declared(spark: SparkSession, schema: T.StructType, path: str, buckets: int
     return name
 
 
-def hot_keys(rows: DataFrame, buckets: int) -> DataFrame:
-    """The keys that hold more rows than an average bucket: fewer than ``buckets``, whatever the rows."""
+def buckets_for(rows: int, least: int) -> int:
+    """``least`` doubled until no average bucket holds more than ``BUCKET_ROWS`` rows."""
+    buckets = least
+    while rows > buckets * BUCKET_ROWS:
+        buckets *= 2
+    return buckets
+
+
+def hot_keys(rows: DataFrame, buckets: int, total: int | None = None) -> DataFrame:
+    """The keys that hold more rows than an average bucket: fewer than ``buckets``, whatever the rows. ``total`` is their number, if known."""
     counts = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).where(" and ".join(f"{k} is not null" for k in KEYS))
-    total = rows.agg((F.count(F.lit(1)) / buckets).alias("most"))
-    return counts.join(F.broadcast(total), F.col("n") > F.col("most")).select(*KEYS)
+    if total is not None:
+        return counts.where(F.col("n") * buckets > total).select(*KEYS)
+    most = rows.agg((F.count(F.lit(1)) / buckets).alias("most"))
+    return counts.join(F.broadcast(most), F.col("n") > F.col("most")).select(*KEYS)
 
 
 def bucket_of(buckets: int) -> Column:
@@ -63,20 +76,23 @@ def bucket_of(buckets: int) -> Column:
 def write_trusted_bucketed(rows: DataFrame, subject: str, path: str, dt_proc: str, buckets: int, mode: str = APPEND) -> int:
     """As ``write_trusted``, into buckets, for rows in any order. All runs of a table need the same number of them.
 
-    A task writes one bucket or a part of the hot rows, so a month has about as many files as buckets. ``buckets`` should leave
-    a few hundred MB of a month in each.
+    A task writes a bucket in some of the months, the fewer the more rows there are, and a part of the hot rows; so a month has about as
+    many files as buckets, and tasks grow with the rows. ``buckets`` should leave a few hundred MB of a month in each. One job counts the rows.
     """
     spark, attempt = rows.sparkSession, uuid4().hex
     earlier = {run["baldes"] for run in runs.records(spark, path)}
     if earlier - {buckets}:
         raise ValueError(f"{path} has runs of {sorted(earlier, key=str)} buckets, not {buckets}")
     runs.remove_hidden(spark, path, dt_proc)
-    hot = F.broadcast(hot_keys(rows.select(*KEYS), buckets).withColumn(HOT, F.lit(1)))
+    total = rows.count()
+    hot = F.broadcast(hot_keys(rows.select(*KEYS), buckets, total).withColumn(HOT, F.lit(1)))
     marked = rows.join(hot, list(KEYS), "left").withColumn(HOT, F.coalesce(HOT, F.lit(0)))
-    spread = buckets + F.pmod(F.xxhash64(*[c for c in _columns(TRUSTED[subject])]), F.lit(SPREAD * buckets))
-    placed = marked.withColumn("_task", F.when(F.col(HOT) == 0, bucket_of(buckets)).otherwise(spread.cast("int")))
+    shares = max(1, ceil(total / (buckets * TASK_ROWS)))
+    own = bucket_of(buckets) * shares + F.pmod(F.hash("ref"), F.lit(shares))
+    spread = F.pmod(F.xxhash64(*_columns(TRUSTED[subject])), F.lit(buckets * shares))
+    placed = marked.withColumn("_task", F.when(F.col(HOT) == 0, own).otherwise(spread.cast("int")))
     columns = [*_columns(TRUSTED[subject]), "ref", "dt_proc"]
-    stored = placed.repartition(buckets, "_task").select(*columns, F.lit(attempt).alias(runs.TRY), HOT)
+    stored = placed.repartitionById(buckets * shares, "_task").select(*columns, F.lit(attempt).alias(runs.TRY), HOT)
     name = _declared(spark, TRUSTED[subject], path, buckets)
     written = Observation()
     stored = stored.observe(written, F.count(F.lit(1)).alias("rows"))

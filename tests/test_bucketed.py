@@ -128,3 +128,21 @@ def test_tables_are_bucketed_in_one_way_or_not_at_all(spark, lake):
         bucketed.scan_trusted_bucketed(spark, FATURAS, lake.root + "/plain")
     with pytest.raises(ValueError, match="None"):
         bucketed.write_trusted_bucketed(rows, FATURAS, lake.root + "/plain", "z", 5)
+
+
+def test_tasks_of_a_write_grow_with_the_rows(spark, lake, monkeypatch):
+    """A task of a write has a bucket in some months, so that a month still has a file a bucket, and a join's bucket stays small."""
+    monkeypatch.setattr(bucketed, "TASK_ROWS", 20)
+    rows = [(f"FAT-{i}", str(i % 9), f"2024-{i % 12 + 1:02d}-05", "2024-03-15", f"{i}.00", "1.00") for i in range(600)]
+    typed = trusted_faturas(spark.createDataFrame(rows, RAW_FATURA), "a")
+    assert bucketed.write_trusted_bucketed(typed, FATURAS, lake.trusted(FATURAS), "a", BUCKETS) == 600
+    stored = bucketed.scan_trusted_bucketed(spark, FATURAS, lake.trusted(FATURAS))
+    assert rows_of(stored.select(*typed.columns)) == rows_of(typed)
+    files = [f.split("/") for f in stored.inputFiles()]
+    assert len({(f[-2], f[-5], f[-1].split("_")[-1]) for f in files}) == len(files)  # by hot, month and bucket
+    assert len({f[-1].split("-")[1] for f in files}) > BUCKETS  # by the number of the task
+
+
+def test_buckets_grow_with_the_rows():
+    most = bucketed.BUCKET_ROWS
+    assert [bucketed.buckets_for(n, 8) for n in (0, 8 * most, 8 * most + 1, 100 * most)] == [8, 8, 16, 128]

@@ -86,6 +86,11 @@ def raw_of(spark: SparkSession, sf_dir: str, subject: str) -> DataFrame:
     return maker(spark, sf_dir)
 
 
+def rows_of(spark: SparkSession, sf_dir: str, subject: str) -> int:
+    """How many rows the subject's table has, by its footers; of payments those of no order are among them."""
+    return _table(spark, sf_dir, {fv.SUBJECT_FATURAS: "orders", fv.SUBJECT_PAGAMENTOS: "lineitem"}[subject]).count()
+
+
 def deliver(spark: SparkSession, rows: DataFrame, staging: str, folder: str, name: str, parts: int = 8) -> None:
     """``rows`` as ``parts`` CSV files of always the same names, each in place of an earlier delivery's.
 

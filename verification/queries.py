@@ -176,15 +176,17 @@ def book_replaced(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+# Buckets at least; more as the tables grow.
 BUCKETS = 8
 
 
 def bucketed_sides(spark: SparkSession, d: str) -> tuple[list[DataFrame], str | None]:
     """Both trusted tables of the period, stored in buckets, and the column of hot rows if there are any."""
     lake = Lake(new_folder(spark))
+    buckets = bucketed.buckets_for(max(fx.rows_of(spark, d, s) for s in monthly.SUBJECTS), BUCKETS)
     for subject in monthly.SUBJECTS:
         rows = trusted.TO_TRUSTED[subject](fx.raw_of(spark, d, subject), DT_PROC)
-        bucketed.write_trusted_bucketed(rows, subject, lake.trusted(subject), DT_PROC, BUCKETS)
+        bucketed.write_trusted_bucketed(rows, subject, lake.trusted(subject), DT_PROC, buckets)
     sides = [inspection.in_period(bucketed.scan_trusted_bucketed(spark, s, lake.trusted(s)), PERIOD) for s in monthly.SUBJECTS]
     return sides, bucketed.hot_column(spark, *(lake.trusted(s) for s in monthly.SUBJECTS))
 
