@@ -149,3 +149,10 @@ def test_parts_keep_their_names_over_deliveries(spark, lake, tmp_path):
     landed = landing.scan_raw(spark, lake, FATURAS)
     assert landed.count() == 100 and landed.select("valor_fatura").distinct().collect() == [("2.00",)]
     assert landing.landed_files(spark, lake, FATURAS).count() == 8
+
+
+def test_parts_of_a_delivery_grow_with_the_table(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(str(tmp_path / "orders.parquet"))
+    assert fx.parts_of(spark, str(tmp_path), FATURAS) == fx.PARTS
+    monkeypatch.setattr(fx, "PART_ROWS", 30)
+    assert fx.parts_of(spark, str(tmp_path), FATURAS) == 34

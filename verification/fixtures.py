@@ -7,6 +7,7 @@ See FIXTURES.md for the mapping.
 from __future__ import annotations
 
 from datetime import date
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ DT_PROC = "20010105080000"
 # The stamp of a second run.
 AGAIN = "20010106080000"
 
+# Files of a delivery at least, and rows of a file from which there are more.
+PARTS, PART_ROWS = 8, 1_000_000
+
 # One customer, for the point lookup.
 CUSTOMER = 345
 
@@ -91,7 +95,12 @@ def rows_of(spark: SparkSession, sf_dir: str, subject: str) -> int:
     return _table(spark, sf_dir, {fv.SUBJECT_FATURAS: "orders", fv.SUBJECT_PAGAMENTOS: "lineitem"}[subject]).count()
 
 
-def deliver(spark: SparkSession, rows: DataFrame, staging: str, folder: str, name: str, parts: int = 8) -> None:
+def parts_of(spark: SparkSession, sf_dir: str, subject: str) -> int:
+    """Files of a delivery: a task writes one, so they grow with the rows."""
+    return max(PARTS, ceil(rows_of(spark, sf_dir, subject) / PART_ROWS))
+
+
+def deliver(spark: SparkSession, rows: DataFrame, staging: str, folder: str, name: str, parts: int = PARTS) -> None:
     """``rows`` as ``parts`` CSV files of always the same names, each in place of an earlier delivery's.
 
     Every part is written by a task of its own, which part a row is in follows from its invoice, and the driver only renames.

@@ -254,7 +254,7 @@ def landing_redelivery(spark: SparkSession, d: str) -> DataFrame:
     raw = fx.raw_of(spark, d, FATURAS)
     for factor in ("1", "0.1"):
         amount = (F.col("valor_fatura").cast("decimal(14,2)") * F.lit(factor).cast("decimal(2,1)")).cast("decimal(14,2)")
-        fx.deliver(spark, raw.withColumn("valor_fatura", amount.cast("string")), new_folder(spark), source, FATURAS)
+        fx.deliver(spark, raw.withColumn("valor_fatura", amount.cast("string")), new_folder(spark), source, FATURAS, fx.parts_of(spark, d, FATURAS))
         landing.land_files(spark, lake, FATURAS, source)
     return landing.scan_raw(spark, lake, FATURAS)
 
@@ -263,7 +263,7 @@ def landing_mixed(spark: SparkSession, d: str) -> DataFrame:
     """Rows by subject from one folder that holds the files of both, told apart by their names."""
     lake, source = Lake(new_folder(spark)), new_folder(spark)
     for subject in monthly.SUBJECTS:
-        fx.deliver(spark, fx.raw_of(spark, d, subject), new_folder(spark), source, subject)
+        fx.deliver(spark, fx.raw_of(spark, d, subject), new_folder(spark), source, subject, fx.parts_of(spark, d, subject))
     monthly.ingest(spark, lake, monthly.mixed_delivery(source))
     rows = [landing.scan_raw(spark, lake, s).agg(F.lit(s).alias("tb_name"), F.count(F.lit(1)).alias("qtd"), F.max("id_fatura").alias("ultima")) for s in monthly.SUBJECTS]
     return rows[0].unionByName(rows[1])
